@@ -2,38 +2,52 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import WORD, words
+from dialoom.llm.common import BLANKS, words
 
 #: Marks that may end a line of prose.
-ENDINGS = r"""[.!?…:;。！？"'”’»)\]]$"""
+ENDINGS = (".", "!", "?", "…", ":", ";", "。", "！", "？", '"', "'", "”", "’", "»", ")", "]")
 #: Phrases of site furniture and licence notices, matched without case anywhere in a line.
 BOILERPLATE = (
-    "all rights reserved", "licensed under", "released under the", "is licensed", "terms of (use|service)", "privacy policy", "cookie (policy|settings|consent)",
-    "(we|site) uses? cookies", "enable javascript", "lorem ipsum", "subscribe to our", "sign up for", "click here", "powered by", "copyright ©", "© ?[0-9]{4}",
+    "all rights reserved", "licensed under", "released under the", "terms of use", "terms of service", "privacy policy", "cookie policy", "cookie settings", "use cookies", "uses cookies",
+    "enable javascript", "lorem ipsum", "subscribe to our", "click here", "copyright ©", "copyright (c)",
 )
-#: Phrases that mark a line as navigation when it is short.
-NAVIGATION = ("home", "menu", "log ?in", "sign in", "next page", "previous page", "read more", "share (this|on)", "skip to content", "back to top", "search")
-#: A separator of menu entries or table cells.
-SEPARATOR = r"[|›»•·>]"
+#: How a short line of navigation begins, without case.
+NAVIGATION = r"^\W*(home|menu|log ?in|sign (in|up)|next page|previous page|read more|share (this|on)|skip to content|back to top|search)\b"
+#: Separators of menu entries or table cells.
+SEPARATORS = ("|", "›", "»", "•")
+
 
+def count_of(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
-def line_passes(line: Column, min_words: int = 1, nav_words: int = 8) -> Column:
-    """The punctuation, navigation and boilerplate rules over one line without outer white space.
 
-    Blank lines pass: they carry no text.
+def line_passes(line: Column, nav_words: int = 8) -> Column:
+    """The punctuation, navigation and boilerplate rules over one line.
+
+    Blank lines pass: they carry no text. A line is shouted if it has cased letters,
+    none of them small. The cheap tests come first: lambdas are evaluated in order.
     """
-    n = F.regexp_count(line, F.lit(WORD))
-    ends = line.rlike(ENDINGS)
-    symbols = F.regexp_count(line, F.lit(r"[#*$%&|<>{}\\]"))
-    separators = F.regexp_count(line, F.lit(SEPARATOR))
-    letters = F.regexp_count(line, F.lit(r"\p{L}"))
-    upper = F.regexp_count(line, F.lit(r"\p{Lu}"))
-    navigation = (separators >= 2) | ((separators >= 1) & (n <= nav_words)) | ((n <= nav_words) & line.rlike(r"(?i)^\W*(" + "|".join(NAVIGATION) + r")\b"))
-    boilerplate = line.rlike("(?i)(" + "|".join(BOILERPLATE) + ")")
-    shouted = (n >= 5) & (upper * 2 > letters)
-    return (n == 0) | ((n >= min_words) & ends & (symbols * 10 <= n) & ~navigation & ~boilerplate & ~shouted)
+
+    def judge(x: Column) -> Column:
+        low = F.lower(x)
+        spaces = count_of(x, " ")
+        symbols = F.regexp_count(x, F.lit(r"[#*$%&|<>{}\\]"))
+        short_menu = (spaces < nav_words) & (low.rlike(NAVIGATION) | _any(x.contains(m) for m in SEPARATORS))
+        long_menu = _any(x.contains(m) & (count_of(x, m) >= 2) for m in SEPARATORS)
+        shouted = (x == F.upper(x)) & (x != low)
+        boilerplate = F.exists(F.array(low), lambda y: _any(y.contains(p) for p in BOILERPLATE))
+        return (x == "") | (F.substring(x, -1, 1).isin(*ENDINGS) & (symbols * 10 <= spaces + 1) & ~short_menu & ~long_menu & ~shouted & ~boilerplate)
+
+    return F.exists(F.array(F.btrim(line, F.lit(BLANKS))), judge)  # binds the trimmed line once
+
+
+def _any(tests) -> Column:
+    return functools.reduce(operator.or_, tests)
 
 
 def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50, max_lost_percent: int = 30, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -54,7 +68,7 @@ def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50,
     d = docs.select("doc_id", *keep, text.alias("text"), words(F.col("text")).alias("w"), F.split(text, "\n", -1).alias("lines"))
     at = F.when(F.size("w") >= 3, F.sequence(F.lit(0), F.size("w") - 3)).otherwise(F.array().cast("array<int>"))
     window = F.transform(at, lambda i: F.struct(F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)).alias("h"), i.alias("i")))
-    passed = F.filter("lines", lambda x: line_passes(F.trim(x)))
+    passed = F.filter("lines", line_passes)
     d = d.select(
         "doc_id", *keep, "text",
         F.size("w").cast("long").alias("n_words"),

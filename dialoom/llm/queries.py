@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dialoom.llm.common import table
 
@@ -21,6 +21,25 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.urls import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.chat import format_chats, read_back, text_parts, under_mask
+
+    own = spark.sql(r"""SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(turn, role)""")
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(own)
+    d = format_chats(text_parts(turns)).withColumn("turns", read_back(F.col("formatted"))).withColumn("loss", under_mask(F.col("formatted"), F.col("loss_spans")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return d.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.mixing import mix
 
@@ -28,7 +47,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op4_simhash_near_dedup, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op4_simhash_near_dedup, op7_url_filters, op8_chat_formatting, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
