@@ -21,6 +21,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.digests import fingerprint
+
+    return fingerprint(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.urls import judge_urls
 
@@ -47,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op4_simhash_near_dedup, op7_url_filters, op8_chat_formatting, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op4_simhash_near_dedup, op5_document_fingerprints, op7_url_filters, op8_chat_formatting, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
