@@ -9,6 +9,8 @@ from dialoom.llm.common import WORD, stored
 #: Sources up to this many are broadcast with their rates (a few dozen bytes each); more are joined by a shuffle.
 BROADCAST_SOURCES = 20_000
 BUCKETS = 4096
+#: Files for tables of one row a source.
+FEW = 8
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> DataFrame:
@@ -28,7 +30,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: fl
     offset = F.element_at(F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv]), F.col("pid")) if offsets else F.lit(0)
     rank = F.row_number().over(Window.partitionBy("pid").orderBy(F.col("source").asc_nulls_last())) - 1 + offset
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(rank, F.lit(len(weights))) + 1).cast("int"))
-    ranked = stored(placed.select("source", "source_size", weight.alias("weight")), "sources")
+    ranked = stored(placed.select("source", "source_size", weight.alias("weight")), "sources", FEW)
     total = ranked.agg(F.sum("source_size")).first()[0] or 0
     level, capped = None, -1
     while True:
@@ -41,7 +43,7 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: fl
     return ranked.withColumn("target", F.least(F.col("weight") * level, most * F.col("source_size")))
 
 
-def balance(hist: DataFrame, goals: DataFrame, most: float, tolerance: float = 1e-9, rounds: int = 60) -> DataFrame:
+def balance(hist: DataFrame, goals: DataFrame, most: float, tolerance: float = 1e-7, rounds: int = 60) -> DataFrame:
     """Solve the dual for each source: ``(source, mean, lam)``.
 
     Over documents the rates nearest (in relative entropy) to one copy each that meet
@@ -53,7 +55,7 @@ def balance(hist: DataFrame, goals: DataFrame, most: float, tolerance: float = 1
     stats = hist.groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.greatest(F.sum("n"), F.lit(1))).alias("mean"))
     state = stored(
         goals.join(stats, goals.source.eqNullSafe(stats.source)).select(goals.source, "mean", "target", "source_size", F.when(F.col("source_size") > 0, F.log(F.least(F.col("target") / F.col("source_size"), F.lit(most)))).otherwise(0.0).alias("lam"), F.lit(-1e9).alias("lo"), F.lit(1e9).alias("hi"), ((F.col("source_size") == 0) | (F.col("target") >= most * F.col("source_size") * (1 - 1e-12))).alias("done")),
-        "dual",
+        "dual", FEW,
     )
     for _ in range(rounds):
         x = F.col("size") / F.col("mean")
@@ -64,12 +66,13 @@ def balance(hist: DataFrame, goals: DataFrame, most: float, tolerance: float = 1
         j = state.join(sums, state.source.eqNullSafe(sums.src), "left")
         gap = F.col("f") - F.col("target")
         lo, hi = F.when(gap < 0, F.col("lam")).otherwise(F.col("lo")), F.when(gap > 0, F.col("lam")).otherwise(F.col("hi"))
-        newton = F.col("lam") - gap / F.col("g")
+        # Newton on the logarithm of the sum, which is nearly straight: a handful of rounds.
+        newton = F.col("lam") + (F.log("target") - F.log("f")) * F.try_divide("f", "g")
         middle = F.when((lo > -1e9) & (hi < 1e9), (lo + hi) / 2).when(gap > 0, F.col("lam") - 1 - F.abs(F.col("lam"))).otherwise(F.col("lam") + 1 + F.abs(F.col("lam")))
         step = F.when((F.col("g") > 0) & (newton > lo) & (newton < hi), newton).otherwise(middle)
         met = F.abs(gap) <= tolerance * F.col("target")
         done = F.col("done") | F.coalesce(met, F.lit(True)) | ((hi - lo) < 1e-12)
-        state = stored(j.select("source", "mean", "target", "source_size", F.when(done, F.col("lam")).otherwise(step).alias("lam"), F.coalesce(lo, F.col("lo")).alias("lo"), F.coalesce(hi, F.col("hi")).alias("hi"), done.alias("done")), "dual")
+        state = stored(j.select("source", "mean", "target", "source_size", F.when(done, F.col("lam")).otherwise(step).alias("lam"), F.coalesce(lo, F.col("lo")).alias("lo"), F.coalesce(hi, F.col("hi")).alias("hi"), done.alias("done")), "dual", FEW)
         if state.where("not done").isEmpty():
             break
     # Sums of doubles may differ in the last bits between runs; nine digits don't.
@@ -88,7 +91,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
     """
     sized = docs.select("doc_id", *keep, F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     hist = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
-    goals = stored(targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most), "goals")
+    goals = stored(targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most), "goals", FEW)
     lam = balance(hist, goals, float(most))
     full = F.col("target") >= most * F.col("source_size") * (1 - 1e-12)
     one = lam.select(F.col("source").alias("src"), "mean", "target", "source_size", "lam", full.alias("full"))
@@ -111,7 +114,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
     off = F.abs(F.col("sure") + F.col("taken") - F.col("target"))
     none = F.abs(F.col("sure") - F.col("target"))
     cut = run.groupBy("source").agg(F.min_by("bucket", F.struct(off, "bucket")).alias("cut"), F.min(off).alias("off"), F.min(none).alias("none"))
-    cut = stored(cut.select(F.col("source").alias("cs"), F.when(F.col("none") < F.col("off"), F.lit(-1)).otherwise(F.col("cut")).alias("cut")), "cuts")
+    cut = stored(cut.select(F.col("source").alias("cs"), F.when(F.col("none") < F.col("off"), F.lit(-1)).otherwise(F.col("cut")).alias("cut")), "cuts", FEW)
     out = rated(sized).join(hint(cut), F.col("source").eqNullSafe(F.col("cs")))
     copies = (F.floor("rate") + F.when(spare & (F.col("bucket") <= F.col("cut")), 1).otherwise(0)).cast("long")
     return out.select("doc_id", *keep, "source", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))

@@ -66,13 +66,13 @@ def judge_urls(pages: DataFrame, rules=RULES, labels: DataFrame | None = None, p
     total = leaves.agg(F.sum("n").alias("tn"), F.sum("b").alias("tb"))  # one row
     t = leaves.join(above, ["host", "parent"])
     rest_n, rest_b = F.col("pn") - F.col("n"), F.col("pb") - F.col("b")
-    pooled = F.col("pb") / F.col("pn")
-    error = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / rest_n))
-    alike = (F.col("n") >= least) & (rest_n >= least) & (F.abs(F.col("b") / F.col("n") - rest_b / rest_n) <= z * error)
+    pooled = F.try_divide("pb", "pn")
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), F.col("n")) + F.try_divide(F.lit(1), rest_n)))
+    alike = (F.col("n") >= least) & (rest_n >= least) & (F.abs(F.try_divide("b", "n") - F.try_divide(rest_b, rest_n)) <= z * error)
     merged = (F.col("kids") > many) | F.coalesce(alike, F.lit(False))
     t = t.withColumn("node", F.when(merged, F.concat_ws("/", F.nullif("parent", F.lit("")), F.lit("*"))).otherwise(F.col("template")))
     sums = t.groupBy("host", "parent", "node").agg(F.sum("n").alias("nn"), F.sum("b").alias("nb"))
-    prior = F.coalesce(F.col("tb") / F.nullif("tn", F.lit(0)), F.lit(0.0))
+    prior = F.coalesce(F.try_divide("tb", "tn"), F.lit(0.0))
     smooth = (F.col("nb") + prior_weight * prior) / (F.col("nn") + prior_weight)
     judged = sums.join(F.broadcast(total)).withColumn("template_purity", smooth).withColumn("reject", (F.col("template_purity") >= purity) & (F.col("nn") >= least))
     of = t.select("host", "parent", "template", "node").join(judged.select("host", "parent", "node", "template_purity", "reject"), ["host", "parent", "node"]).drop("parent")
