@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dialoom.llm.common import table
 
+#: A public SentencePiece model, where the box has one.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.quality import quality
@@ -15,6 +18,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
+    from dialoom.llm.pieces import encode
+
+    return encode(table(spark, sf_dir, "documents"), model)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.simhash import near_duplicates
 
@@ -46,6 +55,12 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.mixing import mix
 
@@ -53,7 +68,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op4_simhash_near_dedup, op5_document_fingerprints, op7_url_filters, op8_chat_formatting, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op4_simhash_near_dedup, op5_document_fingerprints, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
