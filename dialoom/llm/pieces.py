@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
@@ -20,7 +21,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Units longer than this are encoded one by one.
 BATCH_LENGTH = 40
 #: Encoded units a task remembers; beyond it starts anew. It bounds memory, not results.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -268,6 +269,16 @@ def load(path: str) -> Pieces:
         return Pieces(f.read())
 
 
+def by_size(b: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``most`` bytes in a text column, a row at least: bounded memory for long texts."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < b.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, side="right")))
+        yield b.slice(at, end - at)
+        at = end
+
+
 def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns in ``keep``, n_tokens, ids and round_trip of whole texts.
 
@@ -286,8 +297,7 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame
         m = load(SparkFiles.get(name))
         for b in batches:
             k = b.num_columns - 1
-            for at in range(0, b.num_rows, 256):  # bounded memory for long texts
-                part = b.slice(at, 256)
+            for part in by_size(b, k):
                 texts = [t or "" for t in part.column(k).to_pylist()]
                 ids = m.encode_batch(texts)
                 same = [m.decode(x) == (re.sub(" +", " ", t).strip(" ") if m.squeeze else t) for x, t in zip(ids, texts)]

@@ -36,6 +36,12 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.suffixes import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.urls import judge_urls
 
@@ -68,7 +74,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op4_simhash_near_dedup, op5_document_fingerprints, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op4_simhash_near_dedup, op5_document_fingerprints, op6_suffix_array_dedup, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
