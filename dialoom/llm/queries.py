@@ -24,6 +24,12 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str, model: str = MODEL) -> D
     return encode(table(spark, sf_dir, "documents"), model)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dialoom.llm.lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.simhash import near_duplicates
 
@@ -74,7 +80,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op4_simhash_near_dedup, op5_document_fingerprints, op6_suffix_array_dedup, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op3_lm_scoring, op4_simhash_near_dedup, op5_document_fingerprints, op6_suffix_array_dedup, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
