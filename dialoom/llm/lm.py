@@ -16,7 +16,7 @@ from dialoom.llm.common import stored
 
 #: Bytes of context, and the share of the training bytes a context must have to become a node: 1 in this many.
 #: So a depth has at most this many nodes, whatever the corpus; its table of 256 numbers a node is broadcast.
-DEPTH, NODES = 5, 1 << 15
+DEPTH, NODES = 6, 1 << 16
 #: Words with at least this share of the training tokens (so at most this many) are looked up in each task.
 HEAVY = 1 << 16
 WORDS, GRAMS = 0, 1
