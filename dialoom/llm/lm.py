@@ -12,13 +12,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import stored
+from dialoom.llm.common import release, stored
 
 #: Bytes of context, and the share of the training bytes a context must have to become a node: 1 in this many.
 #: So a depth has at most this many nodes, whatever the corpus; its table of 256 numbers a node is broadcast.
-DEPTH, NODES = 6, 1 << 16
+DEPTH, NODES = 5, 1 << 16
 #: Words with at least this share of the training tokens (so at most this many) are looked up in each task.
-HEAVY = 1 << 16
+HEAVY = 1 << 19
 WORDS, GRAMS = 0, 1
 LOG_PI = float(np.log(np.pi))
 
@@ -170,12 +170,15 @@ def weighted_tree(levels: list[pd.DataFrame], depth: int) -> Tree:
         else:
             parent.append(np.zeros(len(contexts[0]), np.int64))
     half = np.log(0.5)
-    rest = []
-    for d, c in enumerate(counts):
-        r = c.copy()
+
+    def rest(d: int, at: int) -> np.ndarray:
+        """What the kept children of a block of nodes don't cover."""
+        r = counts[d][at : at + 2048].copy()
         if d + 1 < len(counts):
-            np.subtract.at(r, parent[d + 1], counts[d + 1])
-        rest.append(r)
+            kids = np.flatnonzero((parent[d + 1] >= at) & (parent[d + 1] < at + 2048))
+            np.subtract.at(r, parent[d + 1][kids] - at, counts[d + 1][kids])
+        return r
+
     # Upwards: the log of a node's weighted probability, and the weight of stopping at it.
     stop, above = [None] * len(counts), None
     for d in range(len(counts) - 1, -1, -1):
@@ -187,7 +190,7 @@ def weighted_tree(levels: list[pd.DataFrame], depth: int) -> Tree:
             if d == depth:
                 weighted[s], stop[d][s] = own, 1.0
                 continue
-            r = by_bit(rest[d][s])
+            r = by_bit(rest(d, at))
             below = log_kt(r[:, 0::2], r[:, 1::2])
             if above is not None:
                 kids = np.flatnonzero((parent[d + 1] >= at) & (parent[d + 1] < at + 2048))
@@ -207,7 +210,7 @@ def weighted_tree(levels: list[pd.DataFrame], depth: int) -> Tree:
             up = parent[d][s]
             mixed[s] = mixed_up[up] + left_up[up] * stop[d][s] * kt1
             left[s] = left_up[up] * (1 - stop[d][s])
-            r = by_bit(rest[d][s])
+            r = by_bit(rest(d, at))
             one = mixed[s] + left[s] * (r[:, 1::2] + 0.5) / (r[:, 0::2] + r[:, 1::2] + 1.0)
             one = np.clip(one, 1e-12, 1 - 1e-12)
             lp = np.zeros((len(one), 512))
@@ -249,7 +252,9 @@ def score(docs: DataFrame, depth: int = DEPTH, nodes: int = NODES, heavy: int =
     sc = docs.sparkSession.sparkContext
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     counts = stored(tally(d.where("NOT held_out"), depth), "counts")
+    release(docs.sparkSession)  # shuffle files of the counts
     tree = sc.broadcast(train_tree(counts.where(F.col("kind") == GRAMS), depth, nodes))
+    release(docs.sparkSession)
     vocab = counts.where(F.col("kind") == WORDS).select("key", "c")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     over = float(n + v + 1)
