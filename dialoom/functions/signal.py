@@ -10,6 +10,11 @@ from pyspark.sql import Column, functions as F
 from dialoom.config import LIMITER_CEILING, SPEECH_FLOOR
 
 
+def bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: a lambda evaluates what it holds for each element anew."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def peak(s: Column) -> Column:
     """Greatest absolute sample; 0 for an empty signal, NaN if it holds one."""
     return F.coalesce(F.array_max(F.transform(s, lambda x: F.abs(x.cast("double")))), F.lit(0.0))
@@ -36,24 +41,27 @@ def has_speech(s: Column, floor: float = SPEECH_FLOOR) -> Column:
 
 def limit(s: Column, ceiling: float = LIMITER_CEILING) -> Column:
     """Scale a signal that passes 1 so that its peak is the ceiling."""
-    p = peak(s)
-    gain = F.when(p > 1.0, F.lit(ceiling) / p).otherwise(F.lit(1.0))
-    return F.transform(s, lambda x: x.cast("double") * gain)
+    return bind(
+        F.struct(s.alias("s"), peak(s).alias("p")),
+        lambda b: bind(F.when(b["p"] > 1.0, F.lit(ceiling) / b["p"]).otherwise(F.lit(1.0)), lambda gain: F.transform(b["s"], lambda x: x.cast("double") * gain)),
+    )
 
 
 def fade(s: Column, rate: int, seconds: float) -> Column:
     """Straight ramps from 0 at either end, no longer than half the signal."""
-    n = F.size(s)
-    length = F.least(F.bround(F.lit(seconds * rate)).cast("int"), F.floor(n / 2).cast("int"))
-    steps = F.greatest(length - 1, F.lit(1))
-    up = lambda i: F.when(i < length, i / steps).otherwise(F.lit(1.0))
-    return F.when(length <= 0, F.transform(s, lambda x: x.cast("double"))).otherwise(F.transform(s, lambda x, i: x.cast("double") * up(i) * up(n - 1 - i)))
+    def shape(b: Column) -> Column:
+        n, length = F.size(b["s"]), b["length"]
+        up = lambda i: F.when(i < length, i / F.greatest(length - 1, F.lit(1))).otherwise(F.lit(1.0))
+        return F.when(length <= 0, F.transform(b["s"], lambda x: x.cast("double"))).otherwise(F.transform(b["s"], lambda x, i: x.cast("double") * up(i) * up(n - 1 - i)))
+
+    length = F.least(F.bround(F.lit(seconds * rate)).cast("int"), F.floor(F.size(s) / 2).cast("int"))
+    return bind(F.struct(s.alias("s"), length.alias("length")), shape)
 
 
 def join_chunks(chunks: Column, rate: int, pause_seconds: float) -> Column:
     """Chunks in order with silence between them."""
     gap = F.array_repeat(F.lit(0.0).cast("float"), round(rate * pause_seconds))
-    return F.flatten(F.transform(chunks, lambda c, i: F.when(i < F.size(chunks) - 1, F.concat(c, gap)).otherwise(c)))
+    return bind(chunks, lambda b: F.flatten(F.transform(b, lambda c, i: F.when(i < F.size(b) - 1, F.concat(c, gap)).otherwise(c))))
 
 
 def pcm16(s: Column) -> Column:

@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dialoom.config import ALIGNED_SPEAKER, BYTES_PER_SECOND, CHARS_PER_SECOND, LIMITER_CEILING, PAUSE_ESTIMATE, SPEECH_FLOOR, GenerationConfig
+from dialoom.functions.signal import bind
 from dialoom.functions.text import tokens
 from dialoom.operators.assignment import language, pause_before, speed_of_turn, user_speed, user_voice, voice_of_turn
 
@@ -65,9 +66,11 @@ def stub_align(samples: np.ndarray, rate: int, text: str) -> list[tuple[str, flo
 
 def even_words(text: Column, seconds: Column) -> Column:
     """The same slices as a column expression: array of (word, start, end, confidence)."""
-    words = tokens(text)
-    step = seconds / F.greatest(F.size(words), F.lit(1))
-    return F.transform(words, lambda w, k: F.struct(w.alias("word"), F.round(k * step, 4).alias("start"), F.round((k + 1) * step - 1e-4, 4).alias("end"), F.lit(0.9).alias("confidence")))
+    def slices(b: Column) -> Column:
+        step = b["seconds"] / F.greatest(F.size(b["words"]), F.lit(1))
+        return F.transform(b["words"], lambda w, k: F.struct(w.alias("word"), F.round(k * step, 4).alias("start"), F.round((k + 1) * step - 1e-4, 4).alias("end"), F.lit(0.9).alias("confidence")))
+
+    return bind(F.struct(tokens(text).alias("words"), seconds.alias("seconds")), slices)
 
 
 GENERATED = (
