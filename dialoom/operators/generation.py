@@ -64,11 +64,11 @@ def stub_align(samples: np.ndarray, rate: int, text: str) -> list[tuple[str, flo
     return [(w, k * step, (k + 1) * step - 1e-4, 0.9) for k, w in enumerate(words)]
 
 
-def even_words(text: Column, seconds: Column) -> Column:
+def even_words(text: Column, seconds: Column, digits: int = 4) -> Column:
     """The same slices as a column expression: array of (word, start, end, confidence)."""
     def slices(b: Column) -> Column:
         step = b["seconds"] / F.greatest(F.size(b["words"]), F.lit(1))
-        return F.transform(b["words"], lambda w, k: F.struct(w.alias("word"), F.round(k * step, 4).alias("start"), F.round((k + 1) * step - 1e-4, 4).alias("end"), F.lit(0.9).alias("confidence")))
+        return F.transform(b["words"], lambda w, k: F.struct(w.alias("word"), F.round(k * step, digits).alias("start"), F.round((k + 1) * step - 1e-4, digits).alias("end"), F.lit(0.9).alias("confidence")))
 
     return bind(F.struct(tokens(text).alias("words"), seconds.alias("seconds")), slices)
 

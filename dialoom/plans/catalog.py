@@ -314,10 +314,10 @@ def turn_placements(spark, sf_dir):
 
 @query(f"""WITH {_TURNS}, w AS (SELECT id, i, {_TOKENS.format('text')} AS w, length(text) / 15.0::DOUBLE AS s FROM t WHERE speaker = 'assistant'),
   e AS (SELECT id, i, s / len(w) AS step, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS k FROM w)
-  SELECT id, i::BIGINT AS turn, k::BIGINT AS pos, word, round(k * step, 4) AS start, round((k + 1) * step - 1e-4, 4) AS "end" FROM e""")
+  SELECT id, i::BIGINT AS turn, k::BIGINT AS pos, word, round(k * step, 8) AS start, round((k + 1) * step - 1e-4, 8) AS "end" FROM e""")
 def stub_word_alignment(spark, sf_dir):
     t = load(spark, sf_dir).select("id", F.posexplode("turns").alias("turn", "t")).where("t.speaker = 'assistant'")
-    w = t.select("id", F.col("turn").cast("long").alias("turn"), F.posexplode(gen.even_words(F.col("t.text"), F.length("t.text") / 15.0)).alias("pos", "w"))
+    w = t.select("id", F.col("turn").cast("long").alias("turn"), F.posexplode(gen.even_words(F.col("t.text"), F.length("t.text") / 15.0, 8)).alias("pos", "w"))
     return w.select("id", "turn", F.col("pos").cast("long").alias("pos"), "w.word", "w.start", "w.end")
 
 

@@ -21,6 +21,11 @@ def replace(df: DataFrame, path: str, form: str = "parquet") -> None:
         raise OSError(f"could not rename {stage} to {path}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append(df: DataFrame, path: str, form: str = "json") -> None:
     df.write.format(form).mode("append").save(path)
 

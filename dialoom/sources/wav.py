@@ -48,7 +48,7 @@ def read(spark: SparkSession, paths: str) -> DataFrame:
                 try:
                     rows.append((path, *decode(content), None))
                 except Exception as e:  # noqa: BLE001 - any failure means the file isn't usable
-                    rows.append((path, None, None, None, None, None, str(e)))
+                    rows.append((path, None, None, None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", "sample_rate", "channels", "n_frames", "left", "right", "error"])
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(paths).select("path", "content").mapInPandas(run, DECODED)

@@ -31,7 +31,7 @@ def compact(log: DataFrame, table: str, checkpoint: str, key: str = "id", order:
 def throughput(events: DataFrame, time: str, lateness: str = "10 minutes", width: str = "1 minute") -> DataFrame:
     """Finished and failed records by window of time, for streams with a watermark and for tables."""
     src = events.withWatermark(time, lateness) if events.isStreaming else events
-    return src.groupBy(F.window(time, width).alias("w")).agg(F.count_if("ok").alias("completed"), F.count_if("NOT ok").alias("failed")).select(F.col("w.start").alias("start"), "completed", "failed")
+    return src.groupBy(F.window(time, width).alias("w")).agg(F.count_if("ok").alias("completed"), F.count_if(~F.col("ok")).alias("failed")).select(F.col("w.start").alias("start"), "completed", "failed")
 
 
 def progress(done: DataFrame, total: int) -> DataFrame:
@@ -39,7 +39,7 @@ def progress(done: DataFrame, total: int) -> DataFrame:
 
     ``done(ok, started, finished)``: epoch seconds.
     """
-    g = done.agg(F.count_if("ok").alias("completed"), F.count_if("NOT ok").alias("failed"), (F.max("finished") - F.min("started")).alias("elapsed"))
+    g = done.agg(F.count_if("ok").alias("completed"), F.count_if(~F.col("ok")).alias("failed"), (F.max("finished") - F.min("started")).alias("elapsed"))
     rate = F.when(F.col("elapsed") > 0, (F.col("completed") + F.col("failed")) / F.col("elapsed")).otherwise(F.lit(0.0))
     left = F.greatest(F.lit(total) - F.col("completed") - F.col("failed"), F.lit(0))
     return g.select("completed", "failed", F.coalesce("elapsed", F.lit(0.0)).alias("elapsed_seconds"), (rate * 60).alias("per_minute"), F.when(rate > 0, left / rate).otherwise(F.lit(float("inf"))).alias("eta_seconds"))
