@@ -83,5 +83,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_quality_rules, op2_sentencepiece, op3_lm_scoring, op4_simhash_near_dedup, op5_document_fingerprints, op6_suffix_array_dedup, op7_url_filters, op8_chat_formatting, op9_html_extraction, op10_mixing)}
 
 
+_SPACE = r"[\x20\x09-\x0D]+"
+_ENDS = """'.', '!', '?', '…', ':', ';', '。', '！', '？', '"', '''', '”', '’', '»', ')', ']'"""
+
+
+def _op1_sql() -> str:
+    """The same counts and line rules in DuckDB; three-word windows are compared as texts."""
+    from dialoom.llm.quality import BOILERPLATE, NAVIGATION, SEPARATORS
+
+    any_of = lambda tests: "(" + " OR ".join(tests) + ")"
+    count = lambda m: f"length(x) - length(replace(x, '{m}', ''))"
+    spaces = count(" ")
+    short = f"({spaces} < 8 AND (regexp_matches(lower(x), '{NAVIGATION.replace(chr(39), chr(39) * 2)}') OR {any_of(f'contains(x, {chr(39)}{m}{chr(39)})' for m in SEPARATORS)}))"
+    long_ = any_of(f"{count(m)} >= 2" for m in SEPARATORS)
+    phrases = any_of(f"contains(lower(x), '{p}')" for p in BOILERPLATE)
+    passes = rf"(x = '' OR (right(x, 1) IN ({_ENDS}) AND len(regexp_extract_all(x, '[#*$%&|<>{{}}\\]')) * 10 <= {spaces} + 1 AND NOT {short} AND NOT {long_} AND NOT (x = upper(x) AND x <> lower(x)) AND NOT {phrases}))"
+    return rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda w: w <> '') AS w FROM documents),
+      g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+      r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM g) WHERE c > 1) GROUP BY doc_id),
+      l AS (SELECT doc_id, y, trim(y, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS y FROM d)),
+      k AS (SELECT doc_id, sum(length(y))::BIGINT AS all_chars, coalesce(sum(length(y)) FILTER (WHERE {passes}), 0)::BIGINT AS kept_chars, count(*) FILTER (WHERE x <> '') - count(DISTINCT CASE WHEN x <> '' THEN y END) AS dup FROM l GROUP BY doc_id),
+      a AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda z: length(z))), 0)::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, dup::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, all_chars, kept_chars
+        FROM d JOIN k USING (doc_id) LEFT JOIN r USING (doc_id)),
+      b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a)
+      SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND 100 * (all_chars - kept_chars) <= 30 * all_chars AS kept, kept_chars, all_chars - kept_chars AS lost_chars FROM b"""
+
+
+_ESC = r"replace(replace(replace({0}, '\', '\\'), '<|', '<\|'), '|>', '|\>')"
+_OP8_SQL = rf"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+  SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length({_ESC.format('role')}) + length({_ESC.format('text')}) + 16)::BIGINT AS formatted_chars FROM c GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": _op1_sql(), "op8_chat_formatting": _OP8_SQL}
