@@ -88,9 +88,10 @@ def quality(docs: DataFrame, min_words: int = 50, max_repeat_percent: int = 50,
         F.sort_array(F.transform(twice, lambda x: x["i"])).alias("p"),
     )
     covered = F.aggregate(F.transform("p", lambda x, k: F.least(F.lit(3), F.coalesce(F.get("p", k + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
-    d = d.withColumn("n_repeat_words", covered.cast("long")).drop("p")
+    # Spark would push a filter on the verdict below all of this and spell every step out within its lambdas;
+    # a projection with a row number it leaves as it is.
+    d = d.withColumns({"n_repeat_words": covered.cast("long"), "row": F.monotonically_increasing_id()}).drop("p")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    lost = F.col("line_chars") - F.col("kept_chars")
-    d = d.withColumn("base_failed", failed).withColumn("lost_chars", lost)
+    d = d.withColumn("base_failed", failed | (F.col("row") < 0)).withColumn("lost_chars", F.col("line_chars") - F.col("kept_chars"))
     kept = ~F.col("base_failed") & (100 * F.col("lost_chars") <= max_lost_percent * F.col("line_chars"))
     return d.select("doc_id", *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "kept_chars", "lost_chars", "clean_text")
