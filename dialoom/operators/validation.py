@@ -141,7 +141,9 @@ def parse(raw: DataFrame, allowed: tuple[str, ...] = CATEGORIES) -> DataFrame:
         .otherwise(F.when(F.size(first) > 0, first).otherwise(order_reasons(F.col("parts"))))
     )
     said = F.transform("parts", lambda t: F.struct(t["speaker"].alias("speaker"), t["text"].alias("text")))
-    return d.select("split", "ref", "line_no", "id", "category", said.alias("turns"), why.alias("reasons"))
+    d = d.select("split", "ref", "line_no", "id", "category", said.alias("turns"), why.alias("why"), F.monotonically_increasing_id().alias("row"))
+    # A filter on the reasons must not be pushed below and spelled out within their lambdas: the row number holds it.
+    return d.select("split", "ref", "line_no", "id", "category", "turns", F.when(F.col("row") >= 0, F.col("why")).alias("reasons"))
 
 
 @dataclass(frozen=True)
