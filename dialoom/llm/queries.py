@@ -51,7 +51,7 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dialoom.llm.urls import judge_urls
 
-    return judge_urls(table(spark, sf_dir, "pages"))
+    return judge_urls(table(spark, sf_dir, "pages")).withColumn("template_purity", F.round("template_purity", 6))
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,5 +116,31 @@ _OP8_SQL = rf"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coa
   sum(length({_ESC.format('role')}) + length({_ESC.format('text')}) + 16)::BIGINT AS formatted_chars FROM c GROUP BY conv_id"""
 
 
+def _op7_sql() -> str:
+    """Host, path and rules as the contract has them; the template tree by the same statistics."""
+    wild = r"(regexp_full_match(q, '[0-9]+') OR regexp_full_match(q, '[0-9a-fA-F-]{8,}') OR (regexp_matches(q, '[0-9]') AND length(q) >= 12) OR regexp_full_match(q, '[0-9]{2,4}[-_.][0-9]{1,2}([-_.][0-9]{1,4})?'))"
+    fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    from dialoom.llm.urls import LOWER, RULES, UPPER
+
+    ranked = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h + p}'" for h, p, _ in ranked) + " END"
+    said = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in ranked) + " END"
+    return rf"""WITH u AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+      h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+      r AS (SELECT *, {rule} AS rule, {said} AS said, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs FROM h),
+      e AS (SELECT page_id, i, s, regexp_replace(s, '\.[A-Za-z]{{1,5}}$', '') AS q, regexp_extract(s, '\.[A-Za-z]{{1,5}}$') AS suffix FROM (SELECT page_id, unnest(segs) AS s, generate_subscripts(segs, 1) AS i FROM r)),
+      g AS (SELECT page_id, list(CASE WHEN {wild} THEN '*' || suffix ELSE s END ORDER BY i) AS w FROM e GROUP BY page_id),
+      d AS (SELECT r.*, coalesce(array_to_string(w, '/'), '') AS leaf, coalesce(array_to_string(w[:-2], '/'), '') AS parent FROM r LEFT JOIN g USING (page_id)),
+      l AS (SELECT host, parent, leaf, count(said) AS n, count(*) FILTER (WHERE said = 'block') AS b FROM d GROUP BY ALL),
+      a AS (SELECT host, parent, count(*) AS kids, sum(n) AS pn, sum(b) AS pb FROM l GROUP BY ALL),
+      t AS (SELECT *, pn - n AS rn, pb - b AS rb FROM l JOIN a USING (host, parent)),
+      m AS (SELECT *, CASE WHEN kids > 16 OR coalesce(n >= 5 AND rn >= 5 AND abs(b / nullif(n, 0)::DOUBLE - rb / nullif(rn, 0)::DOUBLE) <= 1.96 * sqrt(pb / nullif(pn, 0)::DOUBLE * (1 - pb / nullif(pn, 0)::DOUBLE) * (1 / nullif(n, 0)::DOUBLE + 1 / nullif(rn, 0)::DOUBLE)), false)
+        THEN CASE WHEN parent = '' THEN '*' ELSE parent || '/*' END ELSE leaf END AS node FROM t),
+      o AS (SELECT coalesce(sum(b) / nullif(sum(n), 0)::DOUBLE, 0.0) AS prior FROM l),
+      j AS (SELECT host, parent, node, sum(n) AS nn, (sum(b) + 4.0::DOUBLE * any_value(prior)) / (sum(n) + 4.0::DOUBLE) AS purity FROM m, o GROUP BY ALL)
+      SELECT d.page_id, d.host, d.path, d.rule, coalesce(d.said, CASE WHEN purity >= 0.8 AND nn >= 5 THEN 'block' ELSE 'allow' END) AS verdict, m.node AS template, round(purity, 6) AS template_purity
+      FROM d JOIN m ON d.host = m.host AND d.leaf = m.leaf JOIN j ON m.host = j.host AND m.parent = j.parent AND m.node = j.node"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _op1_sql(), "op8_chat_formatting": _OP8_SQL}
+    return {"op1_quality_rules": _op1_sql(), "op7_url_filters": _op7_sql(), "op8_chat_formatting": _OP8_SQL}

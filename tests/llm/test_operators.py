@@ -63,9 +63,10 @@ def test_quality_counts(spark, docs, frame, empty):
 
 
 def test_quality_lines(spark):
-    good = "\n".join("This line of plain words ends as prose should do, number %s." % "abcdefghij"[k] for k in range(10))
+    rng = random.Random(1)
+    good = "\n".join(prose(rng, 12) for _ in range(10))
     bad = {"menu": "Home | News | About", "licence": "Licensed under a licence of some kind.", "open": "a line without an end", "symbols": "a### b$$$ c%%% d&&& e***.", "shout": "ALL OF THIS IS SHOUTED OUT."}
-    rows = [(1, good)] + [(10 + k, good + "\n" + b) for k, b in enumerate(bad.values())] + [(90, "\n".join([good, *[bad["open"]] * 40]))]
+    rows = [(1, good)] + [(10 + k, good + "\n" + b) for k, b in enumerate(bad.values())] + [(90, "\n".join([good, *["no end " + prose(rng, 12)[:-1] for _ in range(10)]]))]
     got = {r.doc_id: r for r in quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].kept and got[1].clean_text == good and got[1].lost_chars == 0
     for k in range(len(bad)):
