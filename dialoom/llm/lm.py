@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from dialoom.llm.common import release, stored
 
-#: Bytes of context, and the share of the training bytes a context must have to become a node: 1 in this many.
-#: So a depth has at most this many nodes, whatever the corpus; its table of 256 numbers a node is broadcast.
-DEPTH, NODES = 5, 1 << 16
+#: Bytes of context. Every context that occurs is a node.
+DEPTH = 5
+#: Contexts of up to this many bytes are joined on the driver: the alphabet bounds them, not the corpus. Longer ones stay in tasks.
+TOP = 2
+#: Bytes of text that look up their grams together, and grams that a task works on at once.
+BATCH, BLOCK = 16_000_000, 100_000
 #: Words with at least this share of the training tokens (so at most this many) are looked up in each task.
 HEAVY = 1 << 19
 WORDS, GRAMS = 0, 1
@@ -45,60 +48,89 @@ def layout(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.n
     return data, places, begin
 
 
+def gram_keys(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
+    """Grams of ``depth`` + 1 bytes: the context from its latest byte on, then the coded byte, the lowest. So shorter contexts are prefixes."""
+    g = np.zeros(len(places), np.int64)
+    for k in [*range(1, depth + 1), 0]:
+        g = (g << 8) | data[places - k]
+    return g
+
+
+def batched(docs: DataFrame) -> DataFrame:
+    """Rows with a number and a batch: neighbours of one task, about ``BATCH`` bytes together."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch, size = None, 0
+        for b in batches:
+            ids = []
+            for row, t in zip(b.column(0).to_pylist(), b.column(2)):
+                if batch is None or size > BATCH:
+                    batch, size = row, 0  # the number of its first row
+                ids.append(batch)
+                size += len(low(t.as_py())) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=["row", "doc_id", "text", "held_out", "batch"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(run, "row long, doc_id long, text string, held_out boolean, batch long")
+
+
 def tally(docs: DataFrame, depth: int) -> DataFrame:
-    """Counts over texts: (kind, key, c) of word keys and of grams of ``depth`` + 1 bytes, the last the lowest.
+    """Training counts: (kind, batch, key, c) of word keys and of the grams of each batch, 0 for those of held-out texts alone.
 
     Each task adds up what it has read before anything is shuffled.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: Counter = Counter()
-        keys, counts = [], []
-
-        def grams(texts: list[bytes]) -> None:
-            data, places, _ = layout(texts, depth)
-            g = np.zeros(len(places), np.uint64)
-            for k in range(depth, -1, -1):
-                g = (g << np.uint64(8)) | data[places - k]
-            k, c = np.unique(g, return_counts=True)
-            keys.append(k)
-            counts.append(c)
-            if len(keys) >= 16:
-                merge()
+        keys, counts, current = [], [], None
+        names = ["kind", "batch", "key", "c"]
 
         def merge() -> None:
             k, at = np.unique(np.concatenate(keys), return_inverse=True)
             c = np.bincount(at, np.concatenate(counts)).astype(np.int64)
             keys[:], counts[:] = [k], [c]
 
+        def add(texts: list[bytes], weight: int) -> None:
+            data, places, _ = layout(texts, depth)
+            k, c = np.unique(gram_keys(data, places, depth), return_counts=True)
+            keys.append(k)
+            counts.append(c * weight)
+            if len(keys) >= 16:
+                merge()
+
         def flush() -> Iterator[pa.RecordBatch]:
             if keys:
                 merge()
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[0]), GRAMS, np.int8)), pa.array(keys[0].view(np.int64)), pa.array(counts[0])], names=["kind", "key", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[0]), GRAMS, np.int8)), pa.array(np.full(len(keys[0]), current, np.int64)), pa.array(keys[0]), pa.array(counts[0])], names=names)
+                keys.clear()
+                counts.clear()
+
+        def flush_words() -> Iterator[pa.RecordBatch]:
             if words:
                 w = list(words)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), WORDS, np.int8)), pa.array(word_hashes(w)), pa.array([words[x] for x in w], pa.int64())], names=["kind", "key", "c"])
-            words.clear()
-            keys.clear()
-            counts.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), WORDS, np.int8)), pa.nulls(len(w), pa.int64()), pa.array(word_hashes(w)), pa.array([words[x] for x in w], pa.int64())], names=names)
+                words.clear()
 
         for b in batches:
-            part, size = [], 0
-            for t in b.column(0):
-                x = low(t.as_py())
-                words.update(x.split())
-                words[b""] += 1
+            part, size, out = [], 0, None
+            for t, held, batch in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if part and (size > 2_000_000 or held != out or batch != current):
+                    add(part, 0 if out else 1)
+                    part, size = [], 0
+                if batch != current:
+                    yield from flush()
+                    current = batch
+                x, out = low(t.as_py()), held
+                if not held:
+                    words.update(x.split())
+                    words[b""] += 1
                 part.append(x)
                 size += len(x)
-                if size > 2_000_000:
-                    grams(part)
-                    part, size = [], 0
             if part:
-                grams(part)
-            if len(words) > 500_000 or (keys and len(keys[0]) > 4_000_000):  # bounded memory, whatever the task reads
-                yield from flush()
+                add(part, 0 if out else 1)
+            if len(words) > 500_000:  # bounded memory, whatever the task reads
+                yield from flush_words()
         yield from flush()
+        yield from flush_words()
 
-    return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "kind byte, key long, c long").groupBy("kind", "key").agg(F.sum("c").alias("c"))
+    return docs.select("text", "held_out", "batch").mapInArrow(run, "kind byte, batch long, key long, c long")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -221,25 +253,119 @@ def weighted_tree(levels: list[pd.DataFrame], depth: int) -> Tree:
     return Tree(child, log10p, depth)
 
 
-def train_tree(grams: DataFrame, depth: int = DEPTH, nodes: int = NODES) -> Tree:
-    """The context tree of ``grams(key, c)``: at most ``nodes`` contexts a depth come to the driver."""
-    total = grams.agg(F.sum("c")).first()[0] or 0
-    levels = [None] * (depth + 1)
-    g = grams.select("key", "c")
-    for d in range(depth, -1, -1):
-        if d < depth:
-            g = g.groupBy(F.col("key").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("key")).agg(F.sum("c").alias("c"))
-        s = g.select(F.shiftright("key", 8).alias("context"), F.col("key").bitwiseAND(255).alias("symbol"), "c")
-        kept = s.groupBy("context").agg(F.sum("c").alias("n")).where(F.col("n") * nodes >= total).select("context")
-        levels[d] = (s.join(kept, "context", "left_semi") if d else s).toPandas()
-    if not len(levels[0]):
-        levels[0] = pd.DataFrame({"context": [0], "symbol": [0], "c": [0]})
-    while len(levels) > 1 and not len(levels[-1]):
-        levels.pop()
-    return weighted_tree(levels, depth)
-
-
-def score(docs: DataFrame, depth: int = DEPTH, nodes: int = NODES, heavy: int = HEAVY) -> DataFrame:
+def decisions(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Zeros and ones at the binary decisions of sorted ``keys`` (context, byte): keys are (context, node of the decomposition)."""
+    out = []
+    for b in range(8):
+        k = (keys >> 8 << 8) | (1 << b) | ((keys & 255) >> (8 - b))
+        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        out.append((k[first], np.add.reduceat(c, first), np.add.reduceat(c * (keys >> (7 - b) & 1), first)))
+    k, n, ones = (np.concatenate(x) for x in zip(*out))
+    order = np.argsort(k, kind="stable")
+    return k[order], (n - ones)[order].astype(float), ones[order].astype(float)
+
+
+def shorter(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys whose contexts lose their earliest byte, and sums of their values."""
+    k, at = np.unique((keys >> 16 << 8) | (keys & 255), return_inverse=True)
+    return k, np.bincount(at, values)
+
+
+def climb(keys: np.ndarray, c: np.ndarray, deep: int, shallow: int, depth: int, below: np.ndarray | None = None):
+    """Levels of decisions that occur, {d: (keys, weight of stopping, own estimate)}, and the counts and log weights left for the level above.
+
+    A decision without counts has probability one whatever its depth, so it is left out.
+    """
+    levels, half = {}, np.log(0.5)
+    for d in range(deep, shallow - 1, -1):
+        k, zeros, ones = decisions(keys, c)
+        own = log_kt(zeros, ones)
+        weighted = own if d == depth else np.logaddexp(half + own, half + below)
+        levels[d] = k, np.ones(len(k)) if d == depth else np.exp(half + own - weighted), (ones + 0.5) / (zeros + ones + 1.0)
+        (keys, c), (nodes, below) = shorter(keys, c), shorter(k, weighted)
+    return levels, (keys, c), (nodes, below)
+
+
+def descend(levels: dict, above: tuple | None = None) -> dict:
+    """{d: (keys, mixture so far, weight left for deeper contexts)} from the shallowest level down."""
+    out = {}
+    for d in sorted(levels):
+        k, stop, one = levels[d]
+        mixed, left = np.zeros(len(k)), np.ones(len(k))
+        if above is not None:
+            at = np.searchsorted(above[0], (k >> 16 << 8) | (k & 255))
+            mixed, left = above[1][at], above[2][at]
+        above = out[d] = k, mixed + left * stop * one, left * (1 - stop)
+    return out
+
+
+def predicted(grams: np.ndarray, levels: dict, depth: int) -> np.ndarray:
+    """log10 of the probability of each gram's byte after its context: each decision by the deepest context that has met it."""
+    out = np.zeros(len(grams))
+    for b in range(8):
+        one, todo = np.full(len(grams), 0.5), np.arange(len(grams))
+        for d in sorted(levels, reverse=True):
+            g = grams[todo]
+            q = (g >> (8 * (depth - d + 1)) << 8) | (1 << b) | ((g & 255) >> (8 - b))
+            k, mixed, left = levels[d]
+            at = np.minimum(np.searchsorted(k, q), len(k) - 1)
+            hit = k[at] == q
+            one[todo[hit]] = mixed[at[hit]] + left[at[hit]] * 0.5
+            todo = todo[~hit]
+        one = np.clip(one, 1e-12, 1 - 1e-12)
+        out += np.log10(np.where(grams >> (7 - b) & 1, one, 1 - one))
+    return out
+
+
+def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
+    """(key, log10p) of every gram of ``grams(key, c)`` by the whole context tree of the counts.
+
+    Subtrees below contexts of ``TOP`` + 1 bytes are weighted in tasks, each whole;
+    the sums for the contexts above them meet on the driver.
+    """
+    top = min(TOP, depth - 1)
+    shift = 8 * (depth - top)
+    dealt = grams.repartition(F.shiftright("key", shift)).sortWithinPartitions("key")
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        ks, cs, size = [], [], 0
+        for b in batches:
+            ks.append(b.column(0).to_numpy(zero_copy_only=False))
+            cs.append(b.column(1).to_numpy(zero_copy_only=False))
+            size += b.num_rows
+            if size >= BLOCK:
+                k, c = np.concatenate(ks), np.concatenate(cs)
+                cut = int(np.searchsorted(k >> shift, k[-1] >> shift))  # the last subtree may go on
+                if cut:
+                    yield k[:cut], c[:cut]
+                ks, cs, size = [k[cut:]], [c[cut:]], len(k) - cut
+        if size:
+            yield np.concatenate(ks), np.concatenate(cs)
+
+    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, c in blocks(batches):
+            if c.any():
+                _, *sums = climb(k[c > 0], c[c > 0], depth, top + 1, depth)
+                for kind, (key, value) in enumerate(sums):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), pa.array(key), pa.array(value.astype(float))], names=["kind", "key", "value"])
+
+    sums = dealt.mapInArrow(up, "kind byte, key long, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).toPandas().sort_values(["kind", "key"])
+    of = lambda kind: (sums.loc[sums["kind"] == kind, "key"].to_numpy(np.int64), sums.loc[sums["kind"] == kind, "value"].to_numpy(float))
+    (keys, c), (_, below) = of(0), of(1)
+    upper = descend(climb(keys, c, top, 0, depth, below)[0]) if len(keys) else {}
+    shared = grams.sparkSession.sparkContext.broadcast(upper)
+
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, c in blocks(batches):
+            levels = dict(shared.value)
+            if c.any():
+                levels |= descend(climb(k[c > 0], c[c > 0], depth, top + 1, depth)[0], levels[top])
+            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(predicted(k, levels, depth))], names=["key", "log10p"])
+
+    return dealt.mapInArrow(down, "key long, log10p double")
+
+
+def score(docs: DataFrame, depth: int = DEPTH, heavy: int = HEAVY) -> DataFrame:
     """Scores of whole texts by models learnt from those that aren't held out.
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
@@ -251,48 +377,56 @@ def score(docs: DataFrame, depth: int = DEPTH, nodes: int = NODES, heavy: int =
     """
     sc = docs.sparkSession.sparkContext
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
-    counts = stored(tally(d.where("NOT held_out"), depth), "counts")
+    d = stored(batched(d), "docs")
+    counts = stored(tally(d, depth), "counts")
+    grams = counts.where(F.col("kind") == GRAMS)
+    logs = stored(gram_scores(stored(grams.groupBy("key").agg(F.sum("c").alias("c")), "grams"), depth), "logs")
     release(docs.sparkSession)  # shuffle files of the counts
-    tree = sc.broadcast(train_tree(counts.where(F.col("kind") == GRAMS), depth, nodes))
-    release(docs.sparkSession)
-    vocab = counts.where(F.col("kind") == WORDS).select("key", "c")
+    looked = grams.select("batch", "key").join(logs, "key")
+    vocab = stored(counts.where(F.col("kind") == WORDS).groupBy("key").agg(F.sum("c").alias("c")), "vocab")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     over = float(n + v + 1)
     few = vocab.where(F.col("c") * heavy >= n).toPandas().sort_values("key")  # at most ``heavy`` rows
     known = sc.broadcast((few["key"].to_numpy(np.int64), few["c"].to_numpy(np.int64)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["row", "doc_id", "held_out", "n_tokens", "n_bytes", "score", "base", "known", "rare", "times"]
+
+    def run(b: pa.Table, found: pa.Table) -> pa.Table:
         keys, cs = known.value
-        names = ["doc_id", "held_out", "n_tokens", "n_bytes", "score", "base", "known", "rare", "times"]
-        for b in batches:
-            at = 0
-            while at < b.num_rows:
-                texts, size, first = [], 0, at
-                while at < b.num_rows and size < 1_000_000:  # bounded memory for long texts
-                    texts.append(low(b.column(1)[at].as_py()))
-                    size += len(texts[-1])
-                    at += 1
-                tokens, base, sure, rare, times = [], [], [], [], []
-                for t in texts:
-                    c = Counter(t.split())
-                    c[b""] = 1
-                    h, m = word_hashes(list(c)), np.fromiter(c.values(), np.int64, len(c))
-                    k = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-                    hit = keys[k] == h if len(keys) else np.zeros(len(h), bool)
-                    tokens.append(int(m.sum()))
-                    base.append(float((m[hit] * np.log10((cs[k[hit]] + 1.0) / over)).sum()))
-                    sure.append(int(m[hit].sum()))
-                    rare.append(h[~hit])
-                    times.append(m[~hit].astype(np.int32))
-                lists = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-                cols = [
-                    b.column(0).slice(first, at - first), b.column(2).slice(first, at - first), pa.array(tokens, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(tree.value.score(texts)),
-                    pa.array(base, pa.float64()), pa.array(sure, pa.int64()), pa.ListArray.from_arrays(lists, np.concatenate(rare)), pa.ListArray.from_arrays(lists, np.concatenate(times)),
-                ]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, base double, known long, rare array<long>, times array<int>"
-    rows = stored(d.select("doc_id", "text", "held_out").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+        grams, at = np.unique(found.column("key").to_numpy(), return_index=True)
+        logs = found.column("log10p").to_numpy()[at]
+        parts, column = [], b.column("text")
+        at = 0
+        while at < b.num_rows:
+            texts, size, first = [], 0, at
+            while at < b.num_rows and size < 1_000_000:  # bounded memory for long texts
+                texts.append(low(column[at].as_py()))
+                size += len(texts[-1])
+                at += 1
+            tokens, base, sure, rare, times = [], [], [], [], []
+            for t in texts:
+                c = Counter(t.split())
+                c[b""] = 1
+                h, m = word_hashes(list(c)), np.fromiter(c.values(), np.int64, len(c))
+                k = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
+                hit = keys[k] == h if len(keys) else np.zeros(len(h), bool)
+                tokens.append(int(m.sum()))
+                base.append(float((m[hit] * np.log10((cs[k[hit]] + 1.0) / over)).sum()))
+                sure.append(int(m[hit].sum()))
+                rare.append(h[~hit])
+                times.append(m[~hit].astype(np.int32))
+            data, places, begin = layout(texts, depth)
+            scores = np.add.reduceat(logs[np.searchsorted(grams, gram_keys(data, places, depth))], begin)
+            lists = np.cumsum([0, *map(len, rare)]).astype(np.int32)
+            given = [b.column(x).slice(first, at - first).combine_chunks() for x in ("row", "doc_id", "held_out")]
+            parts.append(pa.Table.from_arrays([
+                *given, pa.array(tokens, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(scores),
+                pa.array(base, pa.float64()), pa.array(sure, pa.int64()), pa.ListArray.from_arrays(lists, np.concatenate(rare)), pa.ListArray.from_arrays(lists, np.concatenate(times)),
+            ], names=names))
+        return pa.concat_tables(parts)
+
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, base double, known long, rare array<long>, times array<int>"
+    rows = stored(d.groupBy("batch").cogroup(looked.groupBy("batch")).applyInArrow(run, schema), "scored")
     # Words that aren't heavy meet their counts by a join; by their rarity no key is hot.
     zipped = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("z")).select("row", F.col("z.rare").alias("key"), F.col("z.times").alias("m"))
     found = zipped.join(vocab, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))

@@ -91,3 +91,21 @@ def test_scores(spark):
     held = [r for r in got if r.held_out and r.n_bytes > 50 and r.doc_id < 60]
     assert held and sum(r.bits_per_byte for r in held) / len(held) < 2.5  # eight bits without a model
     assert lm.score(df.limit(0)).count() == 0
+
+
+def test_every_context_is_learnt(spark):
+    """Rare contexts count as well, in a corpus of more than 65,536 training bytes: scores equal those of the whole tree."""
+    depth, rows = 3, [(i, f"common words come again and again {i % 9} " * 40) for i in range(100)] + [(1000 + i, f"rare {chr(97 + i)}{chr(122 - i)}q{i} zebra{i * i}") for i in range(20)]
+    texts = {i: t.encode() for i, t in rows}
+    train = [t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert sum(map(len, train)) > 1 << 16 and any(zlib.crc32(str(i).encode()) % 7 == 2 for i in texts if i >= 1000)
+    grams = counts(train, depth)
+    levels = []
+    for d in range(depth + 1):
+        c = Counter()
+        for g, n in grams.items():
+            c[int.from_bytes(g[depth - d : depth], "big"), g[depth]] += n
+        levels.append(pd.DataFrame([(a, b, n) for (a, b), n in c.items()], columns=["context", "symbol", "c"]))
+    want = dict(zip(texts, lm.weighted_tree(levels, depth).score(list(texts.values()))))
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), depth=depth).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-3 * max(1, abs(want[i])) for i in want)
