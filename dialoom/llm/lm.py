@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dialoom.llm.common import release, stored
 
 #: Bytes of context. Every context that occurs is a node.
-DEPTH = 5
+DEPTH = 6
 #: Contexts of up to this many bytes are joined on the driver: the alphabet bounds them, not the corpus. Longer ones stay in tasks.
 TOP = 2
 #: Bytes of text that look up their grams together, and grams that a task works on at once.

@@ -109,3 +109,20 @@ def test_every_context_is_learnt(spark):
     want = dict(zip(texts, lm.weighted_tree(levels, depth).score(list(texts.values()))))
     got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), depth=depth).collect()}
     assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-3 * max(1, abs(want[i])) for i in want)
+
+
+def test_six_bytes_of_context(spark):
+    """The registered depth: scores equal those of the whole tree over contexts of six bytes, and differ from five."""
+    rows = [(i, f"abcdef{i % 3} xbcdef{(i + 1) % 3} " * 6) for i in range(14)]
+    texts = {i: t.encode() for i, t in rows}
+    want = {}
+    for depth in (5, 6):
+        grams, levels = counts([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 7 != 2], depth), []
+        for d in range(depth + 1):
+            c = Counter()
+            for g, n in grams.items():
+                c[int.from_bytes(g[depth - d : depth], "big"), g[depth]] += n
+            levels.append(pd.DataFrame([(a, b, n) for (a, b), n in c.items()], columns=["context", "symbol", "c"]))
+        want[depth] = dict(zip(texts, lm.weighted_tree(levels, depth).score(list(texts.values()))))
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(abs(got[i] - want[6][i]) < 1e-3 < abs(want[5][i] - want[6][i]) for i in got)
