@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dialoom.llm.common import components, discard, stored
 
@@ -195,3 +196,85 @@ def near_duplicates(docs: DataFrame, width: int = 3, most_bits: int = 2) -> Data
     of = reps.join(comp, reps.rep == comp.node, "left").select(F.col("fp").alias("f"), F.coalesce("component", "rep").alias("component_id"))
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(of, fps.fp == F.col("f"), "left").select("doc_id", text.alias("fingerprint"), "component_id")
+
+
+def shingle_set(text: str | None, width: int) -> np.ndarray:
+    """The sorted distinct hashes of a text's word shingles; a shorter text is one shingle."""
+    w = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    shingles = [b" ".join(w)] if len(w) < width else map(b" ".join, zip(*(w[i:] for i in range(width))))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64)).view(np.int64)
+
+
+def text_node(text: Column) -> Column:
+    """64-bit key of a text; null is empty. Among 15 million texts a shared key has a chance of 6e-6."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, hot: int = 256) -> DataFrame:
+    """(node, component) of all texts linked to another one: components over pairs of at least this Jaccard similarity of word shingles.
+
+    SimHash bits can't find them: such pairs differ by up to a quarter of the bits.
+    Two sets this similar share one of the first n - ceil(similarity * n) + 1
+    shingles of each, in whatever common order; so those are the keys, and no pair is lost.
+    Shingles that more than ``hot`` texts have among their first come last in the
+    order. Candidates are compared exactly: first with the least text of each key, then
+    all those of a key that no links join yet.
+    """
+    sc = docs.sparkSession.sparkContext
+    nodes = stored(docs.select(text_node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "texts")
+
+    def first(common: Broadcast) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            last = common.value
+            for b in batches:
+                ids, keys, sizes = [], [], []
+                for node, t in zip(b.column(0).to_pylist(), b.column(1)):
+                    h = shingle_set(t.as_py(), width)
+                    n = len(h)
+                    h = h[np.argsort(np.isin(h, last), kind="stable")][: n - int(np.ceil(similarity * n - 1e-9)) + 1]
+                    ids.append(np.full(len(h), node, np.int64))
+                    keys.append(h)
+                    sizes.append(np.full(len(h), n, np.int32))
+                if ids:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, keys, sizes)], names=["node", "key", "n"])
+
+        return nodes.mapInArrow(run, "node long, key long, n int")
+
+    none = sc.broadcast(np.zeros(0, np.int64))
+    often = first(none).groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("key").toPandas()
+    keys = first(sc.broadcast(np.sort(often["key"].to_numpy(np.int64))))
+    keys = stored(keys, "keys")
+    groups = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("least")).where("m > 1").drop("m")
+    shared = stored(keys.join(groups, "key"), "shared")
+    discard(keys)
+    fits = lambda m, n: F.least(m, n) >= F.greatest(m, n) * similarity - 1e-9
+    stars = stored(shared.where((F.col("node") != F.col("least.node")) & fits(F.col("n"), F.col("least.n"))).select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                ok = []
+                for s, t in zip(b.column(2), b.column(3)):
+                    x, y = shingle_set(s.as_py(), width), shingle_set(t.as_py(), width)
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        t = stored(nodes.join(wanted, "node", "left_semi"), "wanted")
+        both = pairs.join(t.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(t.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
+        out = stored(both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long"), "links")
+        discard(t)
+        return out
+
+    near = verified(stars)
+    of = components(near)
+    rest = shared.select("key", "node", "n").join(of, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
+    split = rest.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q")).where("p <> q").select("key")
+    rest = stored(rest.join(split, "key", "left_semi"), "rest")
+    left, right = rest.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("of").alias("oa")), rest.select("key", F.col("node").alias("b"), "n", F.col("of").alias("ob"))
+    more = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & fits(F.col("m"), F.col("n"))).select("a", "b").distinct()
+    more = stored(more.join(stars.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), "candidates")
+    out = components(near.unionByName(verified(more)))
+    discard(nodes, shared, rest, stars, more)
+    return out

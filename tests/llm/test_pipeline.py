@@ -52,3 +52,31 @@ def test_stages(spark, tmp_path):
     assert all(m.decode(r.ids) == left[r.doc_id] and r.round_trip for r in ids)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(ids)
     assert docs.where(F.col("n_tokens") != F.size("ids")).isEmpty()
+
+
+def test_edited_near_copies_leave(spark):
+    """Copies with an edited word go, at five words and similarity 0.8; those below stay. All pairs are compared by brute force."""
+    rng = random.Random(8)
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    texts = []
+    for _ in range(12):
+        base = prose(rng, 120).split()
+        texts.append(base)
+        for edits in (1, 2, 2, 3, 8):
+            copy = list(base)
+            for at in rng.sample(range(120), edits):
+                copy[at] = f"edit{rng.randrange(1000)}"
+            texts.append(copy)
+    texts = [" ".join(t) for t in texts]
+    sets = [shingles(t) for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            for j in range(i):
+                if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+    want = sorted(set(root))
+    assert 12 < len(want) < len(texts)
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == want
+    assert corpus_pipeline.near_dedup(spark, df.limit(0), "").count() == 0
