@@ -80,3 +80,12 @@ def test_edited_near_copies_leave(spark):
     df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == want
     assert corpus_pipeline.near_dedup(spark, df.limit(0), "").count() == 0
+
+
+def test_unlinked_texts_of_one_id_stay(spark):
+    """A repeated id loses repeated rows and near copies only."""
+    rng = random.Random(4)
+    a, b = prose(rng, 80), prose(rng, 80)
+    rows = [(1, a, "en", "s", 0), (1, b, "en", "s", 0), (1, a, "de", "s", 0), (2, b, "en", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(tuple(r) for r in corpus_pipeline.near_dedup(spark, df, "").collect()) == sorted([(1, a, "de", "s", 0), (1, b, "en", "s", 0)])
