@@ -146,14 +146,19 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
         return ""
     cut = threshold(flat)
     content = usable & (flat >= cut * 0.2)
-    # The regions that the clusters mark lie in some container; where pages name it, it is taken whole.
+    # The regions that the clusters mark lie in some container; where pages name it, its lines are
+    # clustered among themselves. Text outside links stays there, as the ratios alone lose headings and short paragraphs.
     mains = np.array([x[3] for x in lines])
     size = np.array([len(x[0]) for x in lines])
     if mains.any():
         mass = np.bincount(mains, weights=size * content)
         mass[0] = 0
         if mass.max() > 0 or not content.any():
-            content = usable & (mains > 0) & (mass[mains] > 0)
+            inside = np.flatnonzero(usable & (mains > 0) & (mass[mains] > 0))
+            content = np.zeros(len(lines), bool)
+            if len(inside):
+                flat = smooth(ratio[inside], sigma)
+                content[inside] = (ratio[inside] > 0) | (flat >= threshold(flat) * 0.2)
     else:
         content &= ~np.array([x[4] for x in lines])
     return " ".join(lines[k][0] for k in np.flatnonzero(content))

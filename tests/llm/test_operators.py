@@ -300,6 +300,13 @@ def test_html(body, want):
     assert got == want
 
 
+def test_html_ratios_choose_within_the_container():
+    text = "Plain words run on in this paragraph without end."
+    links = "".join(f"<li><a href='/{k}'>Elsewhere {k}</a></li>" for k in range(8))
+    got = html.main_text(PAGE % f"<article><h1>Head</h1><p>{text}</p><p>{text}</p><ul>{links}</ul></article>")
+    assert got.startswith(f"Head {text} {text}") and "Elsewhere 4" not in got and "Elsewhere 7" not in got
+
+
 def test_html_table(spark):
     df = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "u", "<<<>&bogus; <p"), (4, "u", PAGE % "<article><p>x</p></article>")], "page_id long, url string, html string").withColumn("text", F.lit(1))
     got = {r.page_id: (r.text, r.n_chars) for r in html.extract(df).collect()}
