@@ -4,25 +4,26 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import release, stored
+from dialoom.llm.common import discard, release, stored
 
 #: Bytes of context. Every context that occurs is a node.
 DEPTH = 6
 #: Contexts of up to this many bytes are joined on the driver: the alphabet bounds them, not the corpus. Longer ones stay in tasks.
 TOP = 2
-#: Bytes of text that look up their grams together, and grams that a task works on at once.
-BATCH, BLOCK = 16_000_000, 100_000
+#: A symbol: 0 is what stands before a text and after it, 256 + b the byte b. Seven of nine bits fit a long.
+SYMBOL, BITS = 511, 9
+#: Bytes of text that look up their grams together, positions that are worked on at once, and grams weighted at once.
+BATCH, CHUNK, BLOCK = 12_000_000, 1_000_000, 100_000
+#: Parts that the contexts are dealt to: one for so many bytes of text, and at most so many.
+PART_BYTES, MOST_PARTS = 8_000_000, 4096
 #: Words with at least this share of the training tokens (so at most this many) are looked up in each task.
 HEAVY = 1 << 19
-WORDS, GRAMS = 0, 1
 LOG_PI = float(np.log(np.pi))
 
 
@@ -39,98 +40,184 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)).view(np.int64)
 
 
-def layout(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts end to end, each after ``depth`` zero bytes and before one that stands for its end: (bytes, coded places, first of each text)."""
-    data = np.frombuffer(b"".join(x for t in texts for x in (b"\0" * depth, t, b"\0")), np.uint8)
+def gram_keys(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of each byte and of each end, and the place of each text's first one.
+
+    A gram has the context from its latest symbol on, then the coded symbol, the
+    lowest, so shorter contexts are prefixes. The end is a symbol of its own, so that no text's
+    code begins another's.
+    """
+    pad = b"\0" * depth
+    data = np.frombuffer(b"".join(x for t in texts for x in (pad, t, b"\0")), np.uint8).astype(np.int64) + 256
     sizes = np.array([len(t) + 1 for t in texts])
     begin = np.cumsum(sizes) - sizes
-    places = np.arange(sizes.sum()) + np.repeat((np.arange(len(texts)) + 1) * depth, sizes)
-    return data, places, begin
+    first = begin + (np.arange(len(texts)) + 1) * depth
+    for k in range(-depth, 0):
+        data[first + k] = 0
+    data[first + sizes - 1] = 0
+    n = len(data) - depth
+    g = np.zeros(n, np.int64)
+    for k in [*range(1, depth + 1), 0]:
+        g <<= BITS
+        g |= data[depth - k : depth - k + n]
+    coded = np.ones(n, bool)
+    for k in range(depth):  # places of the padding of all texts but the first
+        coded[first[1:] - 2 * depth + k] = False
+    return g[coded], begin
 
 
-def gram_keys(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
-    """Grams of ``depth`` + 1 bytes: the context from its latest byte on, then the coded byte, the lowest. So shorter contexts are prefixes."""
-    g = np.zeros(len(places), np.int64)
-    for k in [*range(1, depth + 1), 0]:
-        g = (g << 8) | data[places - k]
-    return g
+def chunks(texts: list[bytes], size: int = 0) -> Iterator[list[bytes]]:
+    """Lists of texts of about ``CHUNK`` bytes, one text at least."""
+    part, at = [], 0
+    for t in texts:
+        part.append(t)
+        at += len(t) + 1
+        if at >= (size or CHUNK):
+            yield part
+            part, at = [], 0
+    if part:
+        yield part
+
+
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    k, c = np.concatenate(keys), np.concatenate(counts)
+    by = np.argsort(k, kind="stable")
+    k = k[by]
+    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+    return k[first], np.add.reduceat(c[by], first)
+
+
+def tallied(g: np.ndarray, weight: int) -> tuple[np.ndarray, np.ndarray]:
+    g = np.sort(g)
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    return g[first], np.diff(np.r_[first, len(g)]) * weight
+
+
+def part_of(keys: np.ndarray, parts: int, shift: int) -> np.ndarray:
+    """The part of each gram, by the latest symbols of its context, those above ``shift`` bits: whole subtrees."""
+    root = (keys >> shift).astype(np.uint64)
+    return ((root * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
+def pack(a: np.ndarray, sort: bool = False) -> bytes:
+    """Longs as compressed bytes, by place of the byte; sorted ones by their steps."""
+    a = np.diff(a, prepend=0) if sort else a
+    return pa.compress(np.ascontiguousarray(a.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(b: bytes, n: int, sort: bool = False) -> np.ndarray:
+    a = np.frombuffer(pa.decompress(b, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n)
+    a = np.ascontiguousarray(a.T).reshape(-1).view(np.int64)
+    return np.cumsum(a) if sort else a
+
+
+def pack_logs(a: np.ndarray) -> bytes:
+    """32-bit floats as compressed bytes, by place of the byte."""
+    return pa.compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack_logs(b: bytes, n: int) -> np.ndarray:
+    a = np.frombuffer(pa.decompress(b, 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(a.T).reshape(-1).view(np.float32)
 
 
 def batched(docs: DataFrame) -> DataFrame:
-    """Rows with a number and a batch: neighbours of one task, about ``BATCH`` bytes together."""
+    """Rows with a number, a batch (neighbours of one task, about ``BATCH`` bytes together) and the lower-cased text, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch, size = None, 0
         for b in batches:
-            ids = []
-            for row, t in zip(b.column(0).to_pylist(), b.column(2)):
+            ids, texts, sizes = [], [], []
+            for row, t in zip(b.column(0).to_pylist(), b.column(3)):
                 if batch is None or size > BATCH:
                     batch, size = row, 0  # the number of its first row
+                x = low(t.as_py())
                 ids.append(batch)
-                size += len(low(t.as_py())) + 1
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.int64())], names=["row", "doc_id", "text", "held_out", "batch"])
+                texts.append(pa.compress(x, codec="zstd", asbytes=True))
+                sizes.append(len(x))
+                size += len(x) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(sizes, pa.int64())], names=["row", "doc_id", "held_out", "batch", "text", "n_bytes"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(run, "row long, doc_id long, held_out boolean, batch long, text binary, n_bytes long")
+
+
+def plain(text, n_bytes) -> bytes:
+    return pa.decompress(text.as_buffer(), n_bytes.as_py(), codec="zstd", asbytes=True) if n_bytes.as_py() else b""
 
-    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "held_out").mapInArrow(run, "row long, doc_id long, text string, held_out boolean, batch long")
 
+BLOBS = "part int, batch long, n int, keys binary, counts binary"
 
-def tally(docs: DataFrame, depth: int) -> DataFrame:
-    """Training counts: (kind, batch, key, c) of word keys and of the grams of each batch, 0 for those of held-out texts alone.
 
-    Each task adds up what it has read before anything is shuffled.
+def blob_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["part", "batch", "n", "keys", "counts"])
+
+
+def tally(docs: DataFrame, depth: int, parts: int, shift: int) -> DataFrame:
+    """The distinct grams of each batch with their training counts (0 for those of held-out texts alone), a row for each part.
+
+    A batch is counted piece by piece; a row holds its grams of one part compressed, a byte or two each.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter = Counter()
         keys, counts, current = [], [], None
-        names = ["kind", "batch", "key", "c"]
-
-        def merge() -> None:
-            k, at = np.unique(np.concatenate(keys), return_inverse=True)
-            c = np.bincount(at, np.concatenate(counts)).astype(np.int64)
-            keys[:], counts[:] = [k], [c]
-
-        def add(texts: list[bytes], weight: int) -> None:
-            data, places, _ = layout(texts, depth)
-            k, c = np.unique(gram_keys(data, places, depth), return_counts=True)
-            keys.append(k)
-            counts.append(c * weight)
-            if len(keys) >= 16:
-                merge()
 
         def flush() -> Iterator[pa.RecordBatch]:
             if keys:
-                merge()
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[0]), GRAMS, np.int8)), pa.array(np.full(len(keys[0]), current, np.int64)), pa.array(keys[0]), pa.array(counts[0])], names=names)
+                k, c = merged(keys, counts)
+                part = part_of(k, parts, shift)
+                by = np.argsort(part, kind="stable")
+                k, c, part = k[by], c[by], part[by]
+                cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+                yield blob_rows([(int(part[s]), current, int(e - s), pack(k[s:e], True), pack(c[s:e])) for s, e in zip(cut[:-1], cut[1:])])
                 keys.clear()
                 counts.clear()
 
-        def flush_words() -> Iterator[pa.RecordBatch]:
-            if words:
-                w = list(words)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), WORDS, np.int8)), pa.nulls(len(w), pa.int64()), pa.array(word_hashes(w)), pa.array([words[x] for x in w], pa.int64())], names=names)
-                words.clear()
+        def add(texts: list[bytes], weight: int) -> None:
+            for some in chunks(texts):
+                k, c = tallied(gram_keys(some, depth)[0], weight)
+                keys.append(k)
+                counts.append(c)
+                if len(keys) >= 16:
+                    keys[:], counts[:] = ([x] for x in merged(keys, counts))
 
         for b in batches:
-            part, size, out = [], 0, None
-            for t, held, batch in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                if part and (size > 2_000_000 or held != out or batch != current):
-                    add(part, 0 if out else 1)
-                    part, size = [], 0
+            texts = [], []
+            for t, n, out, batch in zip(b.column(0), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if batch != current:
+                    add(texts[0], 1), add(texts[1], 0)
+                    texts = ([], [])
                     yield from flush()
                     current = batch
-                x, out = low(t.as_py()), held
-                if not held:
-                    words.update(x.split())
-                    words[b""] += 1
-                part.append(x)
-                size += len(x)
-            if part:
-                add(part, 0 if out else 1)
-            if len(words) > 500_000:  # bounded memory, whatever the task reads
-                yield from flush_words()
+                texts[out].append(plain(t, n))
+                if len(texts[out][-1]) > CHUNK:  # a very long text isn't kept waiting
+                    add(texts[out], 0 if out else 1)
+                    texts[out].clear()
+            add(texts[0], 1), add(texts[1], 0)
         yield from flush()
-        yield from flush_words()
 
-    return docs.select("text", "held_out", "batch").mapInArrow(run, "kind byte, batch long, key long, c long")
+    return docs.select("text", "n_bytes", "held_out", "batch").mapInArrow(run, BLOBS)
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(key, c) of the tokens of training texts, added up in each task before anything is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words: Counter = Counter()
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if words:
+                yield pa.RecordBatch.from_arrays([pa.array(word_hashes(list(words))), pa.array(list(words.values()), pa.int64())], names=["key", "c"])
+                words.clear()
+
+        for b in batches:
+            for t, n in zip(b.column(0), b.column(1)):
+                words.update(plain(t, n).split())
+                if len(words) > 500_000:  # bounded memory, whatever the task reads
+                    yield from flush()
+            words[b""] += b.num_rows
+        yield from flush()
+
+    some = docs.where("NOT held_out").select("text", "n_bytes").mapInArrow(run, "key long, c long")
+    return some.groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -147,134 +234,38 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - LOG_PI
 
 
-def by_bit(symbols: np.ndarray) -> np.ndarray:
-    """Counts of symbols (rows of 256) as counts below each node of the binary decomposition (rows of 512)."""
-    out = np.zeros((len(symbols), 512))
-    out[:, 256:] = symbols
-    for j in range(255, 0, -1):
-        out[:, j] = out[:, 2 * j] + out[:, 2 * j + 1]
-    return out
-
-
-@dataclass
-class Tree:
-    """A context tree: ``child[node, byte]`` (-1: none) and ``log10p[node, byte]``, node being the deepest that fits."""
-
-    child: np.ndarray
-    log10p: np.ndarray
-    depth: int
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 of the probability of each whole text and its end."""
-        data, places, begin = layout(texts, self.depth)
-        node, live = np.zeros(len(places), np.int32), np.arange(len(places))
-        for d in range(1, self.depth + 1):
-            to = self.child[node[live], data[places[live] - d]]
-            go = to >= 0
-            live = live[go]
-            node[live] = to[go]
-        return np.add.reduceat(self.log10p[node, data[places]], begin, dtype=np.float64)
-
-
-def weighted_tree(levels: list[pd.DataFrame], depth: int) -> Tree:
-    """Context-tree weighting of training counts, ready for prediction.
+def decisions(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Zeros and ones at the binary decisions of sorted ``keys`` (context, symbol): keys are (context, node of the decomposition).
 
-    ``levels[d]`` has (context, symbol, c) for the nodes of depth d. Every node has
-    a Krichevsky-Trofimov estimator for each of the 255 binary decisions of a byte;
-    what its kept children don't cover is one further leaf below it. Upwards, a
-    node's weighted probability is half its own estimate and half the product of its
-    children's. Downwards, the share of its own estimate in that is the posterior weight
-    of stopping there; it mixes the estimates of all depths on the way to a context.
+    First whether a byte follows or the end, then the byte's eight bits.
     """
-    contexts = [np.unique(x["context"].to_numpy()) for x in levels]
-    start = np.cumsum([0, *map(len, contexts)])
-    counts, parent = [], []
-    child = np.full((start[-1], 256), -1, np.int32)
-    for d, x in enumerate(levels):
-        at = np.searchsorted(contexts[d], x["context"].to_numpy())
-        c = np.zeros((len(contexts[d]), 256))
-        np.add.at(c, (at, x["symbol"].to_numpy()), x["c"].to_numpy())
-        counts.append(c)
-        if d:
-            up = np.searchsorted(contexts[d - 1], contexts[d] & ((1 << (8 * (d - 1))) - 1))
-            parent.append(up)
-            child[start[d - 1] + up, contexts[d] >> (8 * (d - 1))] = start[d] + np.arange(len(contexts[d]))
-        else:
-            parent.append(np.zeros(len(contexts[0]), np.int64))
-    half = np.log(0.5)
-
-    def rest(d: int, at: int) -> np.ndarray:
-        """What the kept children of a block of nodes don't cover."""
-        r = counts[d][at : at + 2048].copy()
-        if d + 1 < len(counts):
-            kids = np.flatnonzero((parent[d + 1] >= at) & (parent[d + 1] < at + 2048))
-            np.subtract.at(r, parent[d + 1][kids] - at, counts[d + 1][kids])
-        return r
-
-    # Upwards: the log of a node's weighted probability, and the weight of stopping at it.
-    stop, above = [None] * len(counts), None
-    for d in range(len(counts) - 1, -1, -1):
-        weighted, stop[d] = np.empty((len(counts[d]), 256)), np.empty((len(counts[d]), 256), np.float32)
-        for at in range(0, len(counts[d]), 2048):
-            s = slice(at, at + 2048)
-            b = by_bit(counts[d][s])
-            own = log_kt(b[:, 0::2], b[:, 1::2])  # column j: the decision at node j; column 0 isn't used
-            if d == depth:
-                weighted[s], stop[d][s] = own, 1.0
-                continue
-            r = by_bit(rest(d, at))
-            below = log_kt(r[:, 0::2], r[:, 1::2])
-            if above is not None:
-                kids = np.flatnonzero((parent[d + 1] >= at) & (parent[d + 1] < at + 2048))
-                np.add.at(below, parent[d + 1][kids] - at, above[kids])
-            weighted[s] = np.logaddexp(half + own, half + below)
-            stop[d][s] = np.exp(half + own - weighted[s])
-        above = weighted
-    # Downwards: the mixture of the estimates so far and the weight that is left for deeper ones.
-    log10p = np.empty((start[-1], 256), np.float32)
-    mixed_up, left_up = np.zeros((1, 256), np.float32), np.ones((1, 256), np.float32)
-    for d in range(len(counts)):
-        mixed, left = np.empty((len(counts[d]), 256), np.float32), np.empty((len(counts[d]), 256), np.float32)
-        for at in range(0, len(counts[d]), 2048):
-            s = slice(at, at + 2048)
-            b = by_bit(counts[d][s])
-            kt1 = (b[:, 1::2] + 0.5) / (b[:, 0::2] + b[:, 1::2] + 1.0)
-            up = parent[d][s]
-            mixed[s] = mixed_up[up] + left_up[up] * stop[d][s] * kt1
-            left[s] = left_up[up] * (1 - stop[d][s])
-            r = by_bit(rest(d, at))
-            one = mixed[s] + left[s] * (r[:, 1::2] + 0.5) / (r[:, 0::2] + r[:, 1::2] + 1.0)
-            one = np.clip(one, 1e-12, 1 - 1e-12)
-            lp = np.zeros((len(one), 512))
-            for j in range(1, 256):
-                lp[:, 2 * j], lp[:, 2 * j + 1] = lp[:, j] + np.log10(1 - one[:, j]), lp[:, j] + np.log10(one[:, j])
-            log10p[start[d] : start[d + 1]][s] = lp[:, 256:]
-        mixed_up, left_up = mixed, left
-    return Tree(child, log10p, depth)
-
-
-def decisions(keys: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Zeros and ones at the binary decisions of sorted ``keys`` (context, byte): keys are (context, node of the decomposition)."""
     out = []
-    for b in range(8):
-        k = (keys >> 8 << 8) | (1 << b) | ((keys & 255) >> (8 - b))
+    for b in range(BITS):
+        if b == 1:
+            bytes_ = keys & SYMBOL != 0
+            keys, c = keys[bytes_], c[bytes_]
+            if not len(keys):
+                break
+        k = (keys >> BITS << BITS) | (1 << b) | ((keys & SYMBOL) >> (BITS - b))
         first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        out.append((k[first], np.add.reduceat(c, first), np.add.reduceat(c * (keys >> (7 - b) & 1), first)))
+        out.append((k[first], np.add.reduceat(c, first), np.add.reduceat(c * (keys >> (BITS - 1 - b) & 1), first)))
     k, n, ones = (np.concatenate(x) for x in zip(*out))
     order = np.argsort(k, kind="stable")
     return k[order], (n - ones)[order].astype(float), ones[order].astype(float)
 
 
 def shorter(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys whose contexts lose their earliest byte, and sums of their values."""
-    k, at = np.unique((keys >> 16 << 8) | (keys & 255), return_inverse=True)
-    return k, np.bincount(at, values)
+    """Keys whose contexts lose their earliest symbol, and sums of their values."""
+    return merged([(keys >> (2 * BITS) << BITS) | (keys & SYMBOL)], [values])
 
 
 def climb(keys: np.ndarray, c: np.ndarray, deep: int, shallow: int, depth: int, below: np.ndarray | None = None):
     """Levels of decisions that occur, {d: (keys, weight of stopping, own estimate)}, and the counts and log weights left for the level above.
 
-    A decision without counts has probability one whatever its depth, so it is left out.
+    Every node has a Krichevsky-Trofimov estimator for each binary decision. A node's
+    weighted probability is half its own estimate and half the product of its children's;
+    the share of its own in that is the posterior weight of stopping there. A decision
+    without counts has probability one whatever its depth, so it is left out.
     """
     levels, half = {}, np.log(0.5)
     for d in range(deep, shallow - 1, -1):
@@ -293,97 +284,133 @@ def descend(levels: dict, above: tuple | None = None) -> dict:
         k, stop, one = levels[d]
         mixed, left = np.zeros(len(k)), np.ones(len(k))
         if above is not None:
-            at = np.searchsorted(above[0], (k >> 16 << 8) | (k & 255))
+            at = np.searchsorted(above[0], (k >> (2 * BITS) << BITS) | (k & SYMBOL))
             mixed, left = above[1][at], above[2][at]
         above = out[d] = k, mixed + left * stop * one, left * (1 - stop)
     return out
 
 
 def predicted(grams: np.ndarray, levels: dict, depth: int) -> np.ndarray:
-    """log10 of the probability of each gram's byte after its context: each decision by the deepest context that has met it."""
-    out = np.zeros(len(grams))
-    for b in range(8):
-        one, todo = np.full(len(grams), 0.5), np.arange(len(grams))
+    """log10 of the probability of each gram's symbol after its context: each decision by the deepest context that has met it."""
+    out, these = np.zeros(len(grams)), np.arange(len(grams))
+    for b in range(BITS):
+        if b == 1:
+            these = np.flatnonzero(grams & SYMBOL)  # an end has no further decisions
+        some = grams[these]
+        one, todo = np.full(len(some), 0.5), np.arange(len(some))
         for d in sorted(levels, reverse=True):
-            g = grams[todo]
-            q = (g >> (8 * (depth - d + 1)) << 8) | (1 << b) | ((g & 255) >> (8 - b))
+            g = some[todo]
+            q = (g >> (BITS * (depth - d + 1)) << BITS) | (1 << b) | ((g & SYMBOL) >> (BITS - b))
             k, mixed, left = levels[d]
             at = np.minimum(np.searchsorted(k, q), len(k) - 1)
             hit = k[at] == q
             one[todo[hit]] = mixed[at[hit]] + left[at[hit]] * 0.5
             todo = todo[~hit]
         one = np.clip(one, 1e-12, 1 - 1e-12)
-        out += np.log10(np.where(grams >> (7 - b) & 1, one, 1 - one))
+        out[these] += np.log10(np.where(some >> (BITS - 1 - b) & 1, one, 1 - one))
     return out
 
 
-def gram_scores(grams: DataFrame, depth: int) -> DataFrame:
-    """(key, log10p) of every gram of ``grams(key, c)`` by the whole context tree of the counts.
+def subtrees(k: np.ndarray, c: np.ndarray, shift: int, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Sorted grams in blocks of about ``block``, cut between subtrees."""
+    at = 0
+    while at < len(k):
+        end = min(at + block, len(k))
+        if end < len(k):
+            cut = int(np.searchsorted(k, (k[end] >> shift) << shift))
+            end = cut if cut > at else int(np.searchsorted(k, ((k[end] >> shift) + 1) << shift))
+        yield k[at:end], c[at:end]
+        at = end
+
+
+def gram_scores(blobs: DataFrame, depth: int, top: int, block: int = BLOCK) -> DataFrame:
+    """(batch, part, n, logs): log10 of the probabilities of the grams of ``blobs``, in their order, by the whole context tree.
 
-    Subtrees below contexts of ``TOP`` + 1 bytes are weighted in tasks, each whole;
+    Subtrees below contexts of ``top`` + 1 symbols are weighted in tasks, each whole;
     the sums for the contexts above them meet on the driver.
     """
-    top = min(TOP, depth - 1)
-    shift = 8 * (depth - top)
-    dealt = grams.repartition(F.shiftright("key", shift)).sortWithinPartitions("key")
+    shift = BITS * (depth - top)
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        ks, cs, size = [], [], 0
-        for b in batches:
-            ks.append(b.column(0).to_numpy(zero_copy_only=False))
-            cs.append(b.column(1).to_numpy(zero_copy_only=False))
-            size += b.num_rows
-            if size >= BLOCK:
-                k, c = np.concatenate(ks), np.concatenate(cs)
-                cut = int(np.searchsorted(k >> shift, k[-1] >> shift))  # the last subtree may go on
-                if cut:
-                    yield k[:cut], c[:cut]
-                ks, cs, size = [k[cut:]], [c[cut:]], len(k) - cut
-        if size:
-            yield np.concatenate(ks), np.concatenate(cs)
-
-    def up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, c in blocks(batches):
-            if c.any():
-                _, *sums = climb(k[c > 0], c[c > 0], depth, top + 1, depth)
-                for kind, (key, value) in enumerate(sums):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), pa.array(key), pa.array(value.astype(float))], names=["kind", "key", "value"])
-
-    sums = dealt.mapInArrow(up, "kind byte, key long, value double").groupBy("kind", "key").agg(F.sum("value").alias("value")).toPandas().sort_values(["kind", "key"])
-    of = lambda kind: (sums.loc[sums["kind"] == kind, "key"].to_numpy(np.int64), sums.loc[sums["kind"] == kind, "value"].to_numpy(float))
-    (keys, c), (_, below) = of(0), of(1)
-    upper = descend(climb(keys, c, top, 0, depth, below)[0]) if len(keys) else {}
-    shared = grams.sparkSession.sparkContext.broadcast(upper)
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of a part meet: its grams as batch -1, and what its subtrees send up as parts -1 and -2."""
+        part, keys, counts = None, [], []
 
-    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, c in blocks(batches):
-            levels = dict(shared.value)
-            if c.any():
-                levels |= descend(climb(k[c > 0], c[c > 0], depth, top + 1, depth)[0], levels[top])
-            yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(predicted(k, levels, depth))], names=["key", "log10p"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            if part is None:
+                return
+            k, c = merged(keys, counts)
+            up = ([], []), ([], [])
+            for x, y in subtrees(k[c > 0], c[c > 0], shift, block):
+                for (a, v), to in zip(climb(x, y, depth, top + 1, depth)[1:], up):
+                    to[0].append(a)
+                    to[1].append(np.asarray(v, float))
+            rows = [(part, -1, len(k), pack(k, True), pack(c))]
+            rows += [(-1 - i, -1, len(x), pack(x), pack(y.view(np.int64))) for i, to in enumerate(up) if to[0] for x, y in [merged(*to)]]
+            yield blob_rows(rows)
 
-    return dealt.mapInArrow(down, "key long, log10p double")
+        for b in batches:
+            for r in zip(*(b.column(x).to_pylist() for x in range(5))):
+                if r[0] != part:
+                    yield from flush()
+                    part, keys, counts = r[0], [], []
+                keys.append(unpack(r[3], r[2], True))
+                counts.append(unpack(r[4], r[2]))
+                if sum(map(len, keys)) > 4 * max(len(keys[0]), 1_000_000):
+                    keys, counts = ([x] for x in merged(keys, counts))
+        yield from flush()
 
+    whole = stored(blobs.repartition("part").sortWithinPartitions("part").mapInArrow(sums, BLOBS), "tree")
+    rows = whole.where("part < 0").collect()  # contexts of at most ``top`` symbols: the alphabet bounds them, and the parts how often each comes
+    of = lambda i: merged(*zip(*((unpack(r.keys, r.n), unpack(r.counts, r.n).view(float)) for r in rows if r.part == -1 - i)))
+    upper = {}
+    if rows:
+        (keys, c), (_, below) = of(0), of(1)
+        upper = descend(climb(keys, c.astype(np.int64), top, 0, depth, below)[0])
+    shared = blobs.sparkSession.sparkContext.broadcast(upper)
 
-def score(docs: DataFrame, depth: int = DEPTH, heavy: int = HEAVY) -> DataFrame:
+    def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = logs = None
+        for b in batches:
+            out = []
+            for part, batch, n, packed, counts in zip(*(b.column(x).to_pylist() for x in range(5))):
+                if batch < 0:  # a part's own grams come before those of its batches
+                    keys, c, found = unpack(packed, n, True), unpack(counts, n), []
+                    for x, y in subtrees(keys, c, shift, block):
+                        levels = dict(shared.value)
+                        if y.any():
+                            levels |= descend(climb(x[y > 0], y[y > 0], depth, top + 1, depth)[0], levels[top])
+                        found.append(predicted(x, levels, depth))
+                    logs = np.concatenate(found).astype(np.float32)
+                else:
+                    out.append((batch, part, n, pack_logs(logs[np.searchsorted(keys, unpack(packed, n, True))])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["batch", "part", "n", "logs"])
+
+    both = whole.where("part >= 0").unionByName(blobs)
+    return both.repartition("part").sortWithinPartitions("part", "batch").mapInArrow(down, "batch long, part int, n int, logs binary")
+
+
+def score(docs: DataFrame, depth: int = DEPTH, heavy: int = HEAVY, top: int = TOP, part_bytes: int = PART_BYTES, block: int = BLOCK) -> DataFrame:
     """Scores of whole texts by models learnt from those that aren't held out.
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     word counts), score (log10 probability of the text's lower-cased bytes and its end by
-    context-tree weighting), n_bytes and bits_per_byte. A null text is empty: one end
-    token. A null id hashes as the empty text. Repeated rows are learnt from and scored
-    one by one; an empty table gives an empty one; without training rows every
-    estimate is uniform.
+    context-tree weighting over all contexts of up to ``depth`` bytes, at most six), n_bytes and
+    bits_per_byte. A null text is empty: one end token. A null id hashes as the empty text. Repeated
+    rows are learnt from and scored one by one; an empty table gives an empty one; without training
+    rows every estimate is uniform.
     """
+    if not 1 <= depth <= 6:
+        raise ValueError("contexts have one to six bytes")
     sc = docs.sparkSession.sparkContext
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out(F.col("doc_id")).alias("held_out"))
     d = stored(batched(d), "docs")
-    counts = stored(tally(d, depth), "counts")
-    grams = counts.where(F.col("kind") == GRAMS)
-    logs = stored(gram_scores(stored(grams.groupBy("key").agg(F.sum("c").alias("c")), "grams"), depth), "logs")
-    release(docs.sparkSession)  # shuffle files of the counts
-    looked = grams.select("batch", "key").join(logs, "key")
-    vocab = stored(counts.where(F.col("kind") == WORDS).groupBy("key").agg(F.sum("c").alias("c")), "vocab")
+    size = d.agg(F.sum("n_bytes")).first()[0] or 0
+    parts, top = int(min(MOST_PARTS, 1 + size // part_bytes)), min(top, depth - 1)
+    shift = BITS * (depth - top)
+    blobs = stored(tally(d, depth, parts, shift), "grams")
+    logs = gram_scores(blobs, depth, top, block)
+    vocab = stored(word_counts(d), "vocab")
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     over = float(n + v + 1)
     few = vocab.where(F.col("c") * heavy >= n).toPandas().sort_values("key")  # at most ``heavy`` rows
@@ -393,16 +420,29 @@ def score(docs: DataFrame, depth: int = DEPTH, heavy: int = HEAVY) -> DataFrame:
 
     def run(b: pa.Table, found: pa.Table) -> pa.Table:
         keys, cs = known.value
-        grams, at = np.unique(found.column("key").to_numpy(), return_index=True)
-        logs = found.column("log10p").to_numpy()[at]
-        parts, column = [], b.column("text")
-        at = 0
-        while at < b.num_rows:
-            texts, size, first = [], 0, at
-            while at < b.num_rows and size < 1_000_000:  # bounded memory for long texts
-                texts.append(low(column[at].as_py()))
-                size += len(texts[-1])
-                at += 1
+        column, n_bytes = b.column("text"), b.column("n_bytes")
+
+        def pieces() -> Iterator[tuple[int, list[bytes]]]:
+            at = 0
+            while at < b.num_rows:
+                texts, size = [], 0
+                while at + len(texts) < b.num_rows and size < CHUNK:  # bounded memory for long texts
+                    texts.append(plain(column[at + len(texts)], n_bytes[at + len(texts)]))
+                    size += len(texts[-1])
+                yield at, texts
+                at += len(texts)
+
+        grams: list[np.ndarray] = []
+        for _, texts in pieces():
+            grams.append(tallied(gram_keys(texts, depth)[0], 1)[0])
+            if len(grams) >= 16:
+                grams = [tallied(np.concatenate(grams), 1)[0]]
+        grams = tallied(np.concatenate(grams), 1)[0]
+        logs = np.empty(len(grams), np.float32)
+        by_part = sorted(zip(*(found.column(x).to_pylist() for x in ("part", "n", "logs"))))
+        logs[np.argsort(part_of(grams, parts, shift), kind="stable")] = np.concatenate([unpack_logs(x, n) for _, n, x in by_part])
+        done = []
+        for first, texts in pieces():
             tokens, base, sure, rare, times = [], [], [], [], []
             for t in texts:
                 c = Counter(t.split())
@@ -415,18 +455,22 @@ def score(docs: DataFrame, depth: int = DEPTH, heavy: int = HEAVY) -> DataFrame:
                 sure.append(int(m[hit].sum()))
                 rare.append(h[~hit])
                 times.append(m[~hit].astype(np.int32))
-            data, places, begin = layout(texts, depth)
-            scores = np.add.reduceat(logs[np.searchsorted(grams, gram_keys(data, places, depth))], begin)
+            g, begin = gram_keys(texts, depth)
+            by = np.argsort(g)
+            at = np.empty(len(g), np.float64)
+            at[by] = logs[np.searchsorted(grams, g[by])]
+            scores = np.add.reduceat(at, begin)
             lists = np.cumsum([0, *map(len, rare)]).astype(np.int32)
-            given = [b.column(x).slice(first, at - first).combine_chunks() for x in ("row", "doc_id", "held_out")]
-            parts.append(pa.Table.from_arrays([
+            given = [b.column(x).slice(first, len(texts)).combine_chunks() for x in ("row", "doc_id", "held_out")]
+            done.append(pa.Table.from_arrays([
                 *given, pa.array(tokens, pa.int64()), pa.array([len(t) for t in texts], pa.int64()), pa.array(scores),
                 pa.array(base, pa.float64()), pa.array(sure, pa.int64()), pa.ListArray.from_arrays(lists, np.concatenate(rare)), pa.ListArray.from_arrays(lists, np.concatenate(times)),
             ], names=names))
-        return pa.concat_tables(parts)
+        return pa.concat_tables(done)
 
     schema = "row long, doc_id long, held_out boolean, n_tokens long, n_bytes long, score double, base double, known long, rare array<long>, times array<int>"
-    rows = stored(d.groupBy("batch").cogroup(looked.groupBy("batch")).applyInArrow(run, schema), "scored")
+    rows = stored(d.groupBy("batch").cogroup(logs.groupBy("batch")).applyInArrow(run, schema), "scored")
+    discard(d, blobs)
     # Words that aren't heavy meet their counts by a join; by their rarity no key is hot.
     zipped = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("z")).select("row", F.col("z.rare").alias("key"), F.col("z.times").alias("m"))
     found = zipped.join(vocab, "key", "left").withColumn("c", F.coalesce("c", F.lit(0)))
