@@ -120,26 +120,36 @@ def _op7_sql() -> str:
     """Host, path and rules as the contract has them; the template tree by the same statistics."""
     wild = r"(regexp_full_match(q, '[0-9]+') OR regexp_full_match(q, '[0-9a-fA-F-]{8,}') OR (regexp_matches(q, '[0-9]') AND length(q) >= 12) OR regexp_full_match(q, '[0-9]{2,4}[-_.][0-9]{1,2}([-_.][0-9]{1,4})?'))"
     fits = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
-    from dialoom.llm.urls import LOWER, RULES, UPPER
+    from dialoom.llm.urls import DEPTH, LOWER, MERGED, RULES, TAIL, UPPER
 
     ranked = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
     rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h + p}'" for h, p, _ in ranked) + " END"
     said = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for h, p, v in ranked) + " END"
+    share = lambda b, n: f"{b} / nullif({n}, 0)::DOUBLE"
+    pooled = share("ab", "an")
+    apart = f"coalesce(abs({share('kb', 'kn')} - {share('(ab - kb)', '(an - kn)')}) > 1.96 * sqrt({pooled} * (1 - {pooled}) * (1 / nullif(kn, 0)::DOUBLE + 1 / nullif(an - kn, 0)::DOUBLE)), false)"
+    levels = "".join(
+        f"""k{k} AS MATERIALIZED (SELECT host, node, segs[{k + 1}] AS seg, sum(n) AS kn, sum(b) AS kb FROM t{k} WHERE len(segs) > {k} GROUP BY ALL),
+      a{k} AS MATERIALIZED (SELECT host, node, seg, kn, kb, CASE WHEN kids = 1 OR (kn >= 5 AND (an - kn < 5 OR {apart})) THEN seg ELSE '{MERGED}' END AS name
+        FROM k{k} JOIN (SELECT host, node, count(*) AS kids, sum(kn) AS an, sum(kb) AS ab FROM k{k} GROUP BY ALL) USING (host, node)),
+      m{k} AS MATERIALIZED (SELECT a.host, a.node, a.seg, name, nn, nb FROM a{k} a JOIN (SELECT host, node, name, sum(kn) AS nn, sum(kb) AS nb FROM a{k} GROUP BY ALL) USING (host, node, name)),
+      t{k + 1} AS MATERIALIZED (SELECT t.host, segs, n, b, concat_ws('/', nullif(t.node, ''), name) AS node, CASE WHEN nn >= 5 THEN nn ELSE near END AS near, CASE WHEN nn >= 5 THEN nb ELSE bnear END AS bnear
+        FROM t{k} t LEFT JOIN m{k} m ON t.host = m.host AND t.node = m.node AND t.segs[{k + 1}] = m.seg),
+      """
+        for k in range(DEPTH)
+    )
     return rf"""WITH u AS (SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
       h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
-      r AS (SELECT *, {rule} AS rule, {said} AS said, list_filter(string_split(path, '/'), lambda x: x <> '') AS segs FROM h),
-      e AS (SELECT page_id, i, s, regexp_replace(s, '\.[A-Za-z]{{1,5}}$', '') AS q, regexp_extract(s, '\.[A-Za-z]{{1,5}}$') AS suffix FROM (SELECT page_id, unnest(segs) AS s, generate_subscripts(segs, 1) AS i FROM r)),
+      r AS (SELECT *, {rule} AS rule, {said} AS said, list_filter(string_split(path, '/'), lambda x: x <> '') AS every FROM h),
+      e AS (SELECT page_id, i, s, regexp_replace(s, '\.[A-Za-z]{{1,5}}$', '') AS q, regexp_extract(s, '\.[A-Za-z]{{1,5}}$') AS suffix FROM (SELECT page_id, unnest(every) AS s, generate_subscripts(every, 1) AS i FROM r)),
       g AS (SELECT page_id, list(CASE WHEN {wild} THEN '*' || suffix ELSE s END ORDER BY i) AS w FROM e GROUP BY page_id),
-      d AS (SELECT r.*, coalesce(array_to_string(w, '/'), '') AS leaf, coalesce(array_to_string(w[:-2], '/'), '') AS parent FROM r LEFT JOIN g USING (page_id)),
-      l AS (SELECT host, parent, leaf, count(said) AS n, count(*) FILTER (WHERE said = 'block') AS b FROM d GROUP BY ALL),
-      a AS (SELECT host, parent, count(*) AS kids, sum(n) AS pn, sum(b) AS pb FROM l GROUP BY ALL),
-      t AS (SELECT *, pn - n AS rn, pb - b AS rb FROM l JOIN a USING (host, parent)),
-      m AS (SELECT *, CASE WHEN kids > 16 OR coalesce(n >= 5 AND rn >= 5 AND abs(b / nullif(n, 0)::DOUBLE - rb / nullif(rn, 0)::DOUBLE) <= 1.96 * sqrt(pb / nullif(pn, 0)::DOUBLE * (1 - pb / nullif(pn, 0)::DOUBLE) * (1 / nullif(n, 0)::DOUBLE + 1 / nullif(rn, 0)::DOUBLE)), false)
-        THEN CASE WHEN parent = '' THEN '*' ELSE parent || '/*' END ELSE leaf END AS node FROM t),
+      d AS MATERIALIZED (SELECT r.*, CASE WHEN len(w) > {DEPTH} THEN list_concat(w[:{DEPTH - 1}], ['{TAIL}']) ELSE coalesce(w, []) END AS segs FROM r LEFT JOIN g USING (page_id)),
+      l AS (SELECT host, segs, count(said) AS n, count(*) FILTER (WHERE said = 'block') AS b FROM d GROUP BY ALL),
       o AS (SELECT coalesce(sum(b) / nullif(sum(n), 0)::DOUBLE, 0.0) AS prior FROM l),
-      j AS (SELECT host, parent, node, sum(n) AS nn, (sum(b) + 4.0::DOUBLE * any_value(prior)) / (sum(n) + 4.0::DOUBLE) AS purity FROM m, o GROUP BY ALL)
-      SELECT d.page_id, d.host, d.path, d.rule, coalesce(d.said, CASE WHEN purity >= 0.8 AND nn >= 5 THEN 'block' ELSE 'allow' END) AS verdict, m.node AS template, round(purity, 6) AS template_purity
-      FROM d JOIN m ON d.host = m.host AND d.leaf = m.leaf JOIN j ON m.host = j.host AND m.parent = j.parent AND m.node = j.node"""
+      t0 AS MATERIALIZED (SELECT host, segs, n, b, '' AS node, CASE WHEN hn >= 5 THEN hn END AS near, CASE WHEN hn >= 5 THEN hb END AS bnear FROM l JOIN (SELECT host, sum(n) AS hn, sum(b) AS hb FROM l GROUP BY host) USING (host)),
+      {levels}j AS (SELECT host, segs, node, near, coalesce((bnear + 4.0::DOUBLE * prior) / (near + 4.0::DOUBLE), prior) AS purity FROM t{DEPTH}, o)
+      SELECT d.page_id, d.host, d.path, d.rule, coalesce(d.said, CASE WHEN purity >= 0.8 AND near >= 5 THEN 'block' ELSE 'allow' END) AS verdict, node AS template, round(purity, 6) AS template_purity
+      FROM d JOIN j ON d.host = j.host AND d.segs = j.segs"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -253,7 +253,72 @@ def test_url_templates(spark):
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[2] is not None], "page_id long, bad boolean")
     got = {r.page_id: r for r in urls.judge_urls(df, (), labels).collect()}
     assert [got[k].verdict for k in (200, 201, 202)] == ["block", "allow", "allow"]
-    assert {got[k].template for k in range(300, 330)} == {"u/*"}
+    assert {got[k].template for k in range(300, 330)} == {"u/**"}
+
+
+def brute_tree(rows, least=5, z=1.96, weight=4.0):
+    """{(host, segments): (template, share of bad)} of rows (host, segments, bad), by plain recursion."""
+    labelled = [bad for *_, bad in rows if bad is not None]
+    prior = sum(labelled) / len(labelled) if labelled else 0.0
+    out = {}
+
+    def count(some):
+        return len([1 for r in some if r[2] is not None]), len([1 for r in some if r[2]])
+
+    def walk(some, k, name, near):
+        n, b = count(some)
+        near = (n, b) if n >= least else near
+        kids = defaultdict(list)
+        for r in some:
+            if len(r[1]) == k:
+                share = (near[1] + weight * prior) / (near[0] + weight) if near else prior
+                out[r[0], r[1]] = (name, share, bool(near) and share >= 0.8)
+            else:
+                kids[r[1][k]].append(r)
+        all_n, all_b = count([r for x in kids.values() for r in x])
+        groups = defaultdict(list)
+        for seg, x in kids.items():
+            m, c = count(x)
+            alone = len(kids) == 1
+            if m >= least and not alone:
+                alone = all_n - m < least
+                if not alone:
+                    p = all_b / all_n
+                    alone = abs(c / m - (all_b - c) / (all_n - m)) > z * (p * (1 - p) * (1 / m + 1 / (all_n - m))) ** 0.5
+            groups[seg if alone else "**"] += x
+        for seg, x in groups.items():
+            walk(x, k + 1, f"{name}/{seg}" if name else seg, near)
+
+    for host in {r[0] for r in rows}:
+        walk([r for r in rows if r[0] == host], 0, "", None)
+    return out
+
+
+def test_url_tree_against_recursion(spark):
+    """All levels, hosts with one label, many siblings with one bad branch among them, tails of long paths, repeated rows."""
+    rng = random.Random(17)
+    rows = []
+    for h in ("a.com", "b.com", "c.com"):
+        for _ in range(250):
+            segs = tuple(rng.choice(("x", "y", "news", "spam", f"n{chr(97 + rng.randrange(26))}")) for _ in range(rng.randint(0, 4)))
+            bad = None if rng.random() < (0.2, 0.6, 0.97)["abc".index(h[0])] else rng.random() < (0.95 if "spam" in segs else 0.1)
+            rows.append((h, segs, bad))
+    rows += [("wide.com", (f"s{chr(97 + k // 26)}{chr(97 + k % 26)}", "p"), k == 7) for k in range(60) for _ in range(40)]  # one all bad among many
+    rows += [("deep.com", tuple("abcdefghijkl"), True)] * 40 + [("deep.com", tuple("abcdefghijzz"), None)]
+    df = spark.createDataFrame([(k, f"http://{h}/{'/'.join(s)}", b) for k, (h, s, b) in enumerate(rows)], "page_id long, url string, bad boolean")
+    labels = df.where("bad IS NOT NULL").select("page_id", "bad")
+    got = {r.page_id: r for r in urls.judge_urls(df.select("page_id", "url"), (), labels).collect()}
+    cut = [(h, s if len(s) <= 8 else (*s[:7], "***"), b) for h, s, b in rows]
+    want = brute_tree(cut)
+    for k, (h, s, _) in enumerate(cut):
+        template, share, reject = want[h, s]
+        assert (got[k].template, got[k].verdict) == (template, "block" if reject else "allow") and abs(got[k].template_purity - share) < 1e-9
+    blocked = {cut[k][:2] for k in got if got[k].verdict == "block"}
+    assert {s[0] for h, s in blocked if h == "wide.com"} == {"sah"} and got[len(rows) - 1].verdict == "block"
+    twice = df.unionByName(df).select("page_id", "url")
+    assert urls.judge_urls(twice, (), labels).count() == 2 * len(rows)
+    long = spark.createDataFrame([(1, "http://l.com/" + "a/" * 100_000), (2, None)], "page_id long, url string")
+    assert {(r.page_id, r.verdict) for r in urls.judge_urls(long).collect()} == {(1, "allow"), (2, "allow")}
 
 
 def test_chat_round_trip(spark):
