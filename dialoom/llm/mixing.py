@@ -79,17 +79,32 @@ def balance(hist: DataFrame, goals: DataFrame, most: float, tolerance: float = 1
     return state.select("source", "mean", "target", "source_size", F.round("lam", 9).alias("lam"))
 
 
+def numbered(rows: DataFrame, most: int = 100_000) -> DataFrame:
+    """``tie`` made different for rows that share it: by their number in the order of all columns.
+
+    Only shared ones are looked at again. One that more than ``most`` rows share is numbered in as many parts.
+    """
+    shared = stored(rows.groupBy("tie").agg(F.count("*").alias("rows_alike")).where("rows_alike > 1"), "alike")
+    if shared.isEmpty():
+        return rows
+    alike = rows.join(shared, "tie")
+    part = F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("rows_alike") / most))
+    n = F.row_number().over(Window.partitionBy("tie", "part").orderBy(*[c for c in rows.columns if c != "tie"]))
+    alike = alike.withColumn("part", part).withColumn("tie", F.when((n == 1) & (F.col("part") == 0), F.col("tie")).otherwise(F.xxhash64("tie", "part", n)))
+    return rows.join(shared, "tie", "left_anti").select(rows.columns).unionByName(alike.select(rows.columns))
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """How often each document is taken: doc_id, source, size, source_size, target, rate, copies, taken.
 
     ``size`` is the number of words (null text: 0). Rates come from entropy
-    balancing by source; a hash of doc_id rounds them, and a shift of the rounding
-    threshold by source, found on a histogram, brings the whole words taken to the
-    target. Repeated rows of a document get the same copies; a null source is a
-    source of its own, ranked last; an empty table gives an empty one. ``keep``
+    balancing by source; a hash of id, text and, among rows alike in both, the row's number rounds them, and a shift
+    of the rounding threshold by source, found on a histogram, brings the whole words taken to the
+    target. A null source is a source of its own, ranked last; an empty table gives an empty one. ``keep``
     names further columns to carry.
     """
-    sized = docs.select("doc_id", *keep, F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    sized = docs.select("doc_id", *keep, F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("tie"))
+    sized = numbered(sized)
     hist = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     goals = stored(targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most), "goals", FEW)
     lam = balance(hist, goals, float(most))
@@ -101,7 +116,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3,
     def rated(d: DataFrame) -> DataFrame:
         rate = F.when(F.col("full"), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), F.round(F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(50.0))), 9)))
         rate = F.when(F.col("mean") > 0, rate).otherwise(F.lit(1.0))
-        unit = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id"), 11) / F.lit(float(1 << 53))
+        unit = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "tie"), 11) / F.lit(float(1 << 53))
         d = d.join(hint(one), d.source.eqNullSafe(F.col("src"))).withColumn("rate", rate)
         # A document gets its extra copy while this is below the source's shift.
         return d.withColumn("late", unit - (F.col("rate") - F.floor("rate"))).withColumn("bucket", F.floor((F.col("late") + 1) / 2 * BUCKETS).cast("int"))
