@@ -25,15 +25,17 @@ def words(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder; a temporary one where none is set and all runs on one machine, as in tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="dialoom-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
 
 
-def stored(df: DataFrame, name: str = "part", files: int = 0) -> DataFrame:
+def stored(df: DataFrame, name: str = "part", files: int = 0, compression: str = "snappy") -> DataFrame:
     """Write a table into the shared folder and read it back, in few files if ``files`` is given.
 
     This cuts the lineage: a lost executor costs no more than the tasks it ran,
@@ -41,7 +43,7 @@ def stored(df: DataFrame, name: str = "part", files: int = 0) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.coalesce(files) if files else df).write.parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._dialoom_path = path
     return out
@@ -65,22 +67,27 @@ def release(spark: SparkSession | None) -> None:
         spark._jvm.System.gc()
 
 
+def salted(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
+    """Join on ``key`` with the rows of a key dealt to several tasks by column ``by``; ``right`` has one row a key."""
+    l = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    return l.join(right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), [key, "salt"]).drop("salt")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: rows ``(node, component)``.
 
-    Alternating large and small stars, each a map-side combined minimum and an
-    equi-join that adaptive execution can split, so a node with very many
-    neighbours isn't one task. The component is its smallest node. Nodes without
-    an edge are not listed. Empty edges give an empty table.
+    Alternating large and small stars, each a map-side combined minimum and a salted
+    equi-join, so a node with very many neighbours isn't one task. The component is
+    its smallest node. Nodes without an edge are not listed. Empty edges give an empty table.
     """
     e = stored(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     state = None
     for _ in range(most_rounds):
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
+        large = salted(both.where("b > a"), least, "a", "b").select(F.col("m").alias("a"), "b").where("a < b").distinct()
         least2 = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least2, "b")
+        small = salted(large, least2, "b", "a")
         nxt = stored(small.select(F.col("m").alias("x"), F.col("b").alias("y")).unionByName(small.select(F.col("m").alias("x"), F.col("a").alias("y"))).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "edges")
         now = tuple(nxt.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         discard(e)

@@ -11,11 +11,11 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import components, discard, stored
+from dialoom.llm.common import components, discard, salted, stored
 
 BITS = np.arange(64, dtype=np.uint64)
 #: Groups of candidate fingerprints above this many are refined by further shared bits.
-MOST_IN_GROUP = 1024
+MOST_IN_GROUP = 4096
 LEAF = 8
 
 
@@ -109,30 +109,31 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def third_masks(mask: int) -> list[int]:
-    """The mask with each third of the bits it leaves free added."""
-    free = [b for b in range(64) if not mask >> b & 1]
+def third_masks(mask: int, most: int = 64) -> list[int]:
+    """The mask with up to ``most`` bits of each third of the bits it leaves free added."""
+    free = [b for b in range(63, -1, -1) if not mask >> b & 1]
     cuts = [len(free) * k // 3 for k in range(4)]
-    return [mask | sum(1 << b for b in free[cuts[k] : cuts[k + 1]]) for k in range(3)]
+    return [mask | sum(1 << b for b in free[cuts[k] : cuts[k + 1]][:most]) for k in range(3)]
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(reps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP) -> DataFrame:
-    """Edges between ``reps(fp, rep)`` that join all fingerprints within ``most_bits`` (at most 2) bits.
+def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP) -> DataFrame:
+    """Edges between the distinct ``fps(fp)`` that join all within ``most_bits`` (at most 2) bits: ``(a, b)``.
 
-    Two words that differ in at most two bits agree on one of any three parts of
-    their bits. So each fingerprint goes to three groups, by the bits of a part;
-    groups that are too large go on to three groups by a part of the bits that are
-    left, and so on. No pair is lost, and when few bits are free a group can't be
-    large, as its fingerprints differ. Small groups are searched with GrayIndex and
-    give a star for each component found, never all pairs.
+    Two words that differ in at most two bits agree on one of any three parts of their
+    bits. So each fingerprint goes to three Gray-ordered indexes, by leading bits of a part: as many as make
+    groups of about half of ``most_in_group``, for which GrayIndex prunes over several levels. Groups that
+    are too large go on to three groups by parts of the bits that are left, and so on. No pair is
+    lost, and when few bits are free a group can't be large, as its fingerprints differ. Each group
+    gives a star for each component found, never all pairs.
     """
     if most_bits > 2:
         raise ValueError("the parts are made for two differing bits")
-    rows = reps.select(F.lit(0).cast("long").alias("mask"), "fp", "rep")
+    rows = fps.select(F.lit(0).cast("long").alias("mask"), "fp")
+    lead = max(0, int(np.ceil(np.log2(max(1, 2 * rows.count() / most_in_group)))))
     masks, found, held = [0], None, []
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,8 +151,8 @@ def links(reps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROU
     def local(g: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if len(g) < 2:
             return
-        key, mask, rep = g["key"].to_numpy(), g["mask"].to_numpy(), g["rep"].to_numpy()
-        fp = g["fp"].to_numpy().view(np.uint64)
+        key, mask, words = g["key"].to_numpy(), g["mask"].to_numpy(), g["fp"].to_numpy()
+        fp = words.view(np.uint64)
         cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (mask[1:] != mask[:-1]), True])
         a, b = [], []
         for s, e in zip(cut[:-1], cut[1:]):
@@ -161,22 +162,23 @@ def links(reps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROU
             if len(i):
                 top = roots(e - s, i, j)
                 kid = np.flatnonzero(top != np.arange(e - s))
-                a.append(rep[s:e][top[kid]])
-                b.append(rep[s:e][kid])
+                a.append(words[s:e][top[kid]])
+                b.append(words[s:e][kid])
         if a:
             yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     while masks:
         # The parts of a mask: a literal of at most 3 ** depth short entries.
-        parts = F.create_map(*[x for m in masks for x in (F.lit(signed(m)), F.array(*[F.lit(signed(p)) for p in third_masks(m)]))])
-        wide = rows.select(F.explode(F.element_at(parts, F.col("mask"))).alias("mask"), "fp", "rep").withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
+        parts = F.create_map(*[x for m in masks for x in (F.lit(signed(m)), F.array(*[F.lit(signed(p)) for p in third_masks(m, lead)]))])
+        wide = rows.select(F.explode(F.element_at(parts, F.col("mask"))).alias("mask"), "fp").withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = wide.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
         wide = stored(wide.join(sizes, ["mask", "key"]), "groups")
         held.append(wide)
-        small = wide.where(F.col("n") <= most_in_group).select("mask", "key", "fp", "rep").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(search, "a long, b long")
+        small = wide.where(F.col("n") <= most_in_group).select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(search, "a long, b long")
         found = small if found is None else found.unionByName(small)
-        rows = wide.where(F.col("n") > most_in_group).select("mask", "fp", "rep")
-        masks = sorted({p for m in masks for p in third_masks(m) if p != (1 << 64) - 1}) if not rows.isEmpty() else []
+        rows = wide.where(F.col("n") > most_in_group).select("mask", "fp")
+        masks = sorted({p for m in masks for p in third_masks(m, lead) if p != (1 << 64) - 1}) if not rows.isEmpty() else []
+        lead = 64
     out = stored(found, "stars")
     discard(*held)
     return out
@@ -186,14 +188,19 @@ def near_duplicates(docs: DataFrame, width: int = 3, most_bits: int = 2) -> Data
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reached over links.
 
     Null and blank texts have fingerprint zero and link like any other. Equal
-    fingerprints are one node, whatever the number of copies. Repeated rows come
-    out repeated; a row with a null doc_id gets the component of its fingerprint
-    (null if no row of it has an id); an empty table gives an empty one.
+    fingerprints are one node, whatever the number of copies and whether their rows have ids. Repeated
+    rows come out repeated; a row with a null doc_id gets the smallest id of its component
+    (null if no row of it has one); an empty table gives an empty one.
     """
     fps = stored(fingerprints(docs, width), "fingerprints")
-    reps = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
-    comp = components(links(reps.where("rep IS NOT NULL"), most_bits))
-    of = reps.join(comp, reps.rep == comp.node, "left").select(F.col("fp").alias("f"), F.coalesce("component", "rep").alias("component_id"))
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    star = links(nodes.select("fp"), most_bits)
+    comp = components(star)
+    discard(star)
+    of = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    of = stored(of, "of")
+    first = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = salted(of, first, "component", "fp").select(F.col("fp").alias("f"), "component_id")
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return fps.join(of, fps.fp == F.col("f"), "left").select("doc_id", text.alias("fingerprint"), "component_id")
 

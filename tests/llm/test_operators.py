@@ -99,7 +99,7 @@ def brute_components(fps):
     return [find(x) for x in range(len(fps))]
 
 
-@pytest.mark.parametrize("most", [1024, 3])
+@pytest.mark.parametrize("most", [4096, 40])
 def test_simhash_links(spark, most, monkeypatch):
     rng = random.Random(9)
     fps = {0, (1 << 64) - 1}
@@ -109,13 +109,13 @@ def test_simhash_links(spark, most, monkeypatch):
             fps.add(x)
             x ^= 1 << rng.randrange(64) | (1 << rng.randrange(64))
     fps = sorted(fps)
-    df = spark.createDataFrame([(simhash.signed(f), i) for i, f in enumerate(fps)], "fp long, rep long")
+    df = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp long")
     comp = {r.node: r.component for r in simhash.components(simhash.links(df, 2, most)).collect()}
     roots = brute_components(fps)
     least = {}
-    for i, r in enumerate(roots):
-        least.setdefault(r, i)
-    assert [comp.get(i, i) for i in range(len(fps))] == [least[r] for r in roots]
+    for f, r in zip(map(simhash.signed, fps), roots):
+        least[r] = min(least.get(r, f), f)
+    assert [comp.get(f, f) for f in map(simhash.signed, fps)] == [least[r] for r in roots]
 
 
 def test_simhash_documents(spark, docs, frame, empty):
@@ -130,6 +130,15 @@ def test_simhash_documents(spark, docs, frame, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_simhash_rows_without_ids(spark, monkeypatch):
+    """They link, and join what meets only through them; a hot fingerprint among them too."""
+    fp = {"a": 0, "b": 3, "c": 15, "d": 255 << 40, "e": 511 << 40}
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, width: docs.replace({k: str(v) for k, v in fp.items()}, subset="text").select("doc_id", F.col("text").cast("long").alias("fp")))
+    rows = [(1, "a"), (None, "b"), (2, "c"), (None, "d"), (None, "e"), (None, "b"), *[(100 + k, "c") for k in range(50)]]
+    got = sorted((repr(r.doc_id), r.fingerprint, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted((repr(i), f"{fp[t]:016x}", 1 if t in "abc" else None) for i, t in rows)
+
+
 def test_gray_index_finds_all():
     import numpy as np
 
@@ -486,6 +495,26 @@ def test_mix(spark, docs, frame, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_mix_repeated_rows(spark):
+    """Rows alike in id and text, or without ids, are rounded one by one; the rates are those of the dual's solution."""
+    import math
+
+    rows = [(None, "a b c d", "x")] * 100 + [(k, f"w{k} " * (k % 7 + 1), "y") for k in range(150)] + [(5, "one text", "y"), (5, "another text here", "y")] * 30
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for some in (df, df.repartition(7)):
+        got = mixing.mix(some, most=3).collect()
+        for source in "xy":
+            mine = [r for r in got if r.source == source]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
+    # The dual by bisection: sum of size * min(3, exp(lam * size / mean)) = target.
+    mine = [r for r in got if r.source == "y"]
+    mean, low, high = sum(r.size for r in mine) / len(mine), -50.0, 50.0
+    for _ in range(200):
+        lam = (low + high) / 2
+        low, high = (lam, high) if sum(r.size * min(3, math.exp(lam * r.size / mean)) for r in mine) < mine[0].target else (low, lam)
+    assert all(abs(r.rate - min(3, math.exp(lam * r.size / mean))) < 1e-6 for r in mine)
+
+
 def unigram(words):
     """A tiny unigram model file."""
     import struct
