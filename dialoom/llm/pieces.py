@@ -18,10 +18,14 @@ from pyspark.sql import DataFrame, functions as F
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Units longer than this are encoded one by one.
-BATCH_LENGTH = 40
-#: Encoded units a task remembers; beyond it starts anew. It bounds memory, not results.
-REMEMBERED = 500_000
+#: Characters of encoded units that a task remembers; beyond it starts anew. It bounds memory, not results.
+REMEMBERED = 12_000_000
+#: Bits of a key beside those that choose its place in a table of what may be a piece.
+SLOT = np.uint64(44)
+#: The rank of what is never merged.
+NEVER = 1 << 40
+#: What stands before the first piece of a path.
+NONE = -2
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,10 +62,10 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
 class Pieces:
     """A SentencePiece model read from its file's bytes.
 
-    Unigram models are encoded by batched Viterbi, BPE models by batched merges:
-    a BPE score is the rank of a merge, not a log probability, so the best-scoring
-    path isn't what such a model means. Both keep the same layout: units of equal
-    length advance together, and sorted piece keys are probed by binary search.
+    Both unigram and BPE models are encoded by batched Viterbi: units of equal
+    length advance together, substring hashes probe sorted piece keys, and row maxima store backpointers. A BPE
+    score is the rank of a merge, not a log probability; there the steps score nothing and are open only between
+    pieces that merging would leave apart, which gives the very pieces that the merges give.
     """
 
     def __init__(self, data: bytes):
@@ -90,30 +94,22 @@ class Pieces:
         apart = not any(SPACE in t.lstrip(SPACE) for t in self.id_of)
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if apart else "(?s).+", re.S)
         self.bytes = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else t.replace(SPACE, " ").encode("utf-8") for t, k in zip(self.text, self.kind)]
-        self.known: dict[str, tuple[int, ...]] = {}
-        if self.model_type == BPE:
-            pairs = {}
-            for t, i in self.id_of.items():
-                for k in range(1, len(t)):
-                    a, b = self.id_of.get(t[:k]), self.id_of.get(t[k:])
-                    if a is not None and b is not None:
-                        pairs[a << 32 | b] = i
-            self.pair_key = np.array(sorted(pairs), np.int64)
-            self.pair_id = np.array([pairs[int(k)] for k in self.pair_key], np.int64)
-            self.pair_score = self.score[self.pair_id]
-            self.pairs = pairs
-            chars = sorted((ord(t), i) for t, i in self.id_of.items() if len(t) == 1)
-            self.char_code, self.char_id = np.array([c for c, _ in chars], np.uint32), np.array([i for _, i in chars], np.int64)
-        elif self.model_type == UNIGRAM:
-            keys = {int(self._hash(np.array([[ord(c) for c in t]], np.uint64))[0, -1]): i for t, i in self.id_of.items()}
-            if len(keys) < len(self.id_of):
-                raise ValueError("two pieces have one key")
-            self.piece_key = np.array(sorted(keys), np.uint64)
-            self.piece_id = np.array([keys[int(k)] for k in self.piece_key], np.int64)
-            self.longest = max(map(len, self.id_of), default=1)
-            self.low = float(self.score[list(self.id_of.values())].min()) - 10.0 if self.id_of else -10.0
-        else:
+        self.known: dict[str, list[int]] = {}
+        self.kept = 0
+        if self.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are read")
+        if self.model_type == BPE:
+            self._read_merges()
+        self.longest = max(map(len, self.id_of), default=1)
+        self.powers = np.multiply.accumulate(np.r_[np.uint64(1), np.full(self.longest, PRIME)])
+        keys = {int(self._hash(np.array([[ord(c) for c in t]], np.uint64))[0, -1]): i for t, i in self.id_of.items()}
+        if len(keys) < len(self.id_of):
+            raise ValueError("two pieces have one key")
+        self.piece_key = np.array(sorted(keys), np.uint64)
+        self.piece_id = np.array([keys[int(k)] for k in self.piece_key], np.int64)
+        self.maybe = np.zeros(1 << (64 - int(SLOT)), bool)
+        self.maybe[self.piece_key >> SLOT] = True
+        self.low = float(self.score[list(self.id_of.values())].min()) - 10.0 if self.id_of else -10.0
 
     @staticmethod
     def _hash(codes: np.ndarray) -> np.ndarray:
@@ -124,81 +120,100 @@ class Pieces:
         return h
 
     def _viterbi(self, units: list[str]) -> list[list[int]]:
-        """Best segmentations of units of one length."""
+        """Best segmentations of units of one length, which advance together by one end after the other.
+
+        Unigram: the sum of the pieces' scores is greatest. BPE: a piece may follow another only if
+        merging leaves both as they are; each prefix then has one path, the one that the merges give.
+        """
         n, length = len(units), len(units[0])
-        h = self._hash(np.array([[ord(c) for c in u] for u in units], np.uint64))
-        powers = np.ones(length + 1, np.uint64)
-        for k in range(length):
-            powers[k + 1] = powers[k] * PRIME
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
+        h = self._hash(codes.astype(np.uint64))
+        found = []
+        for w in range(1, min(self.longest, length) + 1):
+            key = h[:, w:] - h[:, :-w] * self.powers[w]
+            row, start = np.nonzero(self.maybe[key >> SLOT])  # most substrings are no piece
+            key = key[row, start]
+            at = np.minimum(np.searchsorted(self.piece_key, key), len(self.piece_key) - 1)
+            hit = self.piece_key[at] == key
+            piece = np.where(hit, self.piece_id[at], -1)
+            if w == 1:  # a character without a piece is a step by itself
+                one = np.full((n, length), -1, np.int64)
+                one[row, start] = piece
+                (row, start), piece, hit = np.divmod(np.arange(n * length), length), one.ravel(), slice(None)
+            found.append(np.stack([row[hit], start[hit], piece[hit], np.full(len(row[hit]), w)]))
+        row, start, piece, w = np.concatenate(found, 1)
+        by = np.argsort(((start + w) * n + row) * length + start)
+        row, start, piece, w = (x[by] for x in (row, start, piece, w))
+        edge = np.searchsorted(start + w, np.arange(length + 2))
         best = np.full((n, length + 1), -np.inf)
         best[:, 0] = 0
-        back = np.zeros((n, length + 1), np.int64)
+        back, last = np.zeros((n, length + 1), np.int64), np.full((n, length + 1), -1, np.int64)
         for end in range(1, length + 1):
-            starts = np.arange(max(0, end - self.longest), end)
-            key = h[:, end][:, None] - h[:, starts] * powers[end - starts][None, :]
-            at = np.minimum(np.searchsorted(self.piece_key, key), len(self.piece_key) - 1)
-            score = np.where(self.piece_key[at] == key, self.score[self.piece_id[at]], -np.inf)
-            score[:, -1] = np.where(np.isneginf(score[:, -1]), self.low, score[:, -1])  # a character without a piece
-            total = best[:, starts] + score
-            pick = total.argmax(1)
-            best[:, end] = total[np.arange(n), pick]
-            back[:, end] = starts[pick]
-        out = []
-        for r, u in enumerate(units):
-            ids, end = [], length
-            while end:
-                start = back[r, end]
-                ids.append(self.id_of.get(u[start:end], -1))
-                end = start
-            out.append(self._fallback(u, ids[::-1]))
-        return out
-
-    def _merge(self, units: list[str]) -> list[list[int]]:
-        """Merges of units of one length: each round every unit makes its best merge, the leftmost of equals."""
-        width = len(units[0])
-        flat = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
-        at = np.minimum(np.searchsorted(self.char_code, flat), len(self.char_code) - 1)
-        ids = np.where(self.char_code[at] == flat, self.char_id[at], -1).reshape(-1, width)
-        rows, done = np.arange(len(units)), [None] * len(units)
-        into, score = self._probe(ids[:, :-1], ids[:, 1:])
-        while True:
-            if into.shape[1]:
-                pick = score.argmax(1)
-                live = into[np.arange(len(rows)), pick] >= 0
+            s = slice(edge[end], edge[end + 1])
+            r, c, p = row[s], start[s], piece[s]
+            group = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+            if self.model_type == BPE:  # all open steps are alike and one is open: the longest come first
+                pick, todo = group.copy(), np.arange(len(group))
+                while len(todo):
+                    at = pick[todo]
+                    todo = todo[~self._stay(last[r[at], c[at]], p[at])]
+                    pick[todo] += 1
+                best[r[pick], end] = 0.0
             else:
-                live = np.zeros(len(rows), bool)
-            if not live.all():
-                for k, found in zip(rows[~live].tolist(), ids[~live].tolist()):
-                    done[k] = found
-            if not live.any():
-                return [self._fallback(u, x) for u, x in zip(units, done)]
-            rows, ids, into, score, pick = rows[live], ids[live], into[live], score[live], pick[live]
-            n, r = len(rows), np.arange(len(rows))
-            ids[r, pick] = into[r, pick]
-            ids = ids[np.arange(ids.shape[1]) != (pick + 1)[:, None]].reshape(n, -1)
-            keep = np.arange(into.shape[1]) != pick[:, None]
-            into, score = into[keep].reshape(n, -1), score[keep].reshape(n, -1)
-            # Only the pairs on either side of the new symbol change.
-            for side in (r[pick > 0], pick[pick > 0] - 1), (r[pick < into.shape[1]], pick[pick < into.shape[1]]):
-                into[side], score[side] = self._probe(ids[side], ids[side[0], side[1] + 1])
-
-    def _probe(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What pairs of symbols merge into (-1: nothing) and the scores."""
-        key = np.where((a >= 0) & (b >= 0), a << 32 | b, -1)
-        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-        hit = self.pair_key[at] == key
-        return np.where(hit, self.pair_id[at], -1), np.where(hit, self.pair_score[at], -np.inf)
-
-    def _merge_long(self, u: str) -> list[int]:
-        """The same merges for one long unit, by a heap over linked symbols."""
-        ids, n = [self.id_of.get(c, -1) for c in u], len(u)
+                total = best[r, c] + np.where(p >= 0, self.score[p], self.low)
+                top = np.maximum.reduceat(total, group)
+                pick = np.flatnonzero(total == np.repeat(top, np.diff(np.r_[group, len(r)])))[::-1]  # of equals the first is set last
+                best[r[pick], end] = total[pick]
+            back[r[pick], end], last[r[pick], end] = c[pick], p[pick]
+        # All paths are walked back together, a piece each round.
+        end, r, path = np.full(n, length), np.arange(n), []
+        while end.any():
+            path.append(np.where(end > 0, last[r, end], NONE))
+            end = back[r, end]
+        path = np.stack(path[::-1], 1)
+        count, odd = (path != NONE).sum(1).tolist(), (path == -1).any(1).tolist()
+        out = [p[len(p) - k :] for p, k in zip(path.tolist(), count)]
+        return [self._fallback(u, x) if o else x for u, x, o in zip(units, out, odd)]
+
+    def _stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging the texts of pieces a and b, end to end, gives a and b again (-1: nothing to merge with).
+
+        Merges within either go on in the order of their ranks, and of these only
+        those at the border matter: what ends a, and what begins b, grow step by step. The two
+        symbols at the border would merge if that had the better rank (the leftmost of equals) than the next step of either.
+        """
+        ok = np.ones(len(a), bool)
+        live = np.flatnonzero((a >= 0) & (b >= 0))
+        i, j = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64)
+        while len(live):
+            x, y = a[live], b[live]
+            left, right = self.ending[x, i], self.beginning[y, j]
+            key = left << 32 | right
+            across = np.full(len(key), NEVER)
+            maybe = np.flatnonzero(self.maybe_pair[key.view(np.uint64) * PRIME >> SLOT])  # most symbols don't merge
+            some = key[maybe]
+            at = np.minimum(np.searchsorted(self.pair_key, some), len(self.pair_key) - 1)
+            across[maybe] = np.where(self.pair_key[at] == some, self.pair_rank[at], NEVER)
+            grow_a, grow_b = self.ending_rank[x, i + 1], self.beginning_rank[y, j + 1]
+            done = (grow_a == NEVER) & (grow_b == NEVER)
+            merges = (across < grow_a) & (across <= grow_b) & (across < NEVER)
+            ok[live[merges]] = False
+            first = grow_a <= grow_b
+            i, j = i + first, j + ~first
+            go = ~(done | merges)
+            live, i, j = live[go], i[go], j[go]
+        return ok
+
+    def _by_merges(self, u: str) -> tuple[list[int], list[tuple[int, int]]]:
+        """Symbols of a text after all merges, the best first and the leftmost of equals, and what each merge joined."""
+        ids, n, joined = [self.id_of.get(c, -1) for c in u], len(u), []
         right, left = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap: list[tuple[float, int, int, int, int]] = []
+        heap: list[tuple[int, int, int, int, int]] = []
 
         def offer(i: int, j: int) -> None:
             m = self.pairs.get(ids[i] << 32 | ids[j]) if ids[i] >= 0 and ids[j] >= 0 else None
             if m is not None:
-                heapq.heappush(heap, (-self.score[m], i, ids[i], ids[j], m))
+                heapq.heappush(heap, (self.rank[m], i, ids[i], ids[j], m))
 
         for i in range(n - 1):
             offer(i, i + 1)
@@ -209,13 +224,52 @@ class Pieces:
             if gone[i] or j < 0 or ids[i] != a or ids[j] != b:
                 continue
             ids[i], gone[j] = m, True
+            joined.append((a, b))
             right[i] = right[j]
             if right[j] >= 0:
                 left[right[j]] = i
                 offer(i, right[j])
             if left[i] >= 0:
                 offer(left[i], i)
-        return self._fallback(u, [x for x, g in zip(ids, gone) if not g])
+        return [x for x, g in zip(ids, gone) if not g], joined
+
+    def _read_merges(self) -> None:
+        """What each piece is made of: the pieces it ends and begins with, from a character up to itself, with their ranks."""
+        order = sorted(set(self.score.tolist()), reverse=True)
+        place = {x: k for k, x in enumerate(order)}
+        self.rank = [place[x] for x in self.score.tolist()]
+        self.pairs = {}
+        for t, i in self.id_of.items():
+            for k in range(1, len(t)):
+                a, b = self.id_of.get(t[:k]), self.id_of.get(t[k:])
+                if a is not None and b is not None:
+                    self.pairs[a << 32 | b] = i
+        self.pair_key = np.array(sorted(self.pairs), np.int64)
+        self.pair_rank = np.array([self.rank[self.pairs[k]] for k in self.pair_key.tolist()], np.int64)
+        self.maybe_pair = np.zeros(1 << (64 - int(SLOT)), bool)
+        self.maybe_pair[self.pair_key.view(np.uint64) * PRIME >> SLOT] = True
+        ends, begins = {}, {}
+        for t, i in sorted(self.id_of.items(), key=lambda x: len(x[0])):
+            if len(t) == 1:
+                ends[i], begins[i] = [i], [i]
+                continue
+            found, joined = self._by_merges(t)
+            if found != [i]:
+                continue  # no text is ever merged into it
+            a, b = joined[-1]
+            if len(t) > 2 and max(self.rank[x] for x in (a, b) if len(self.text[x]) > 1) > self.rank[i]:
+                raise ValueError("a piece is ranked before what it is made of")
+            ends[i], begins[i] = [*ends[b], i], [*begins[a], i]
+        self.id_of = {t: i for t, i in self.id_of.items() if i in ends}
+        wide = max(map(len, [*ends.values(), *begins.values()]), default=1) + 1
+
+        def table(spines: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+            ids, ranks = np.full((len(self.text), wide), -1, np.int64), np.full((len(self.text), wide), NEVER, np.int64)
+            for i, x in spines.items():
+                ids[i, : len(x)], ranks[i, : len(x)] = x, [self.rank[k] for k in x]
+            return ids, ranks
+
+        (self.ending, self.ending_rank), (self.beginning, self.beginning_rank) = table(ends), table(begins)
 
     def _fallback(self, unit: str, ids: list[int]) -> list[int]:
         """Characters without a piece (-1) become their bytes, or unknown pieces where the model has no bytes."""
@@ -243,19 +297,15 @@ class Pieces:
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         units = [self.units.findall(self.normal(t)) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if self.kept > REMEMBERED:
+            self.known, self.kept = {}, 0
         known, by_length = self.known, {}
         for u in {u for us in units for u in us if u not in known}:
             by_length.setdefault(len(u), []).append(u)
         for length, us in by_length.items():
-            if length > BATCH_LENGTH and self.model_type == BPE:
-                found = [self._merge_long(u) for u in us]
-            else:
-                step = max(1, 400_000 // length)
-                work = self._merge if self.model_type == BPE else self._viterbi
-                found = [x for k in range(0, len(us), step) for x in work(us[k : k + step])]
-            known.update(zip(us, map(tuple, found)))
+            step = max(1, 400_000 // length)
+            known.update(pair for k in range(0, len(us), step) for pair in zip(us[k : k + step], self._viterbi(us[k : k + step])))
+            self.kept += length * len(us)
         return [list(chain.from_iterable(map(known.__getitem__, us))) for us in units]
 
     def decode(self, ids) -> str:
@@ -307,3 +357,23 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame
                 )
 
     return docs.select(*cols, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def decode(tokens: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in ``keep`` and text of rows with token ``ids``.
+
+    Null or empty ids give the empty text; an id that the model doesn't have raises. Bytes that aren't
+    valid UTF-8 become replacement characters; repeated rows stay; an empty table gives an empty one.
+    """
+    tokens.sparkSession.sparkContext.addFile(model)
+    name = model.rsplit("/", 1)[-1]
+    cols = ["doc_id", *keep]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.select(*cols).schema) + ", text string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = load(SparkFiles.get(name))
+        for b in batches:
+            texts = [m.decode(x or []) for x in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], names=[*cols, "text"])
+
+    return tokens.select(*cols, F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, schema)

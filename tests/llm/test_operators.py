@@ -555,7 +555,7 @@ def test_viterbi_against_all_paths():
 
 
 def test_pieces_equal_the_library(spark, docs, frame, empty):
-    sp = pytest.importorskip("sentencepiece")
+    import sentencepiece as sp
     from dialoom.llm.queries import MODEL
 
     p = sp.SentencePieceProcessor(model_file=MODEL)
@@ -565,3 +565,25 @@ def test_pieces_equal_the_library(spark, docs, frame, empty):
     got = pieces.encode(frame, MODEL).collect()
     assert len(got) == len(docs) and all(r.round_trip and r.n_tokens == len(r.ids) for r in got)
     assert pieces.encode(empty, MODEL).count() == 0
+    back = {r.doc_id: r.text for r in pieces.decode(pieces.encode(frame.where("doc_id < 45"), MODEL), MODEL).collect()}
+    assert all(back[i] == re.sub(" +", " ", t or "").strip(" ") or not m.squeeze and back[i] == (t or "") for i, t, *_ in docs if i is not None and i < 45)
+    assert pieces.decode(spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>"), MODEL).where("text = ''").count() == 2
+
+
+def test_viterbi_gives_the_merges():
+    """Made words, every pair of pieces and long units: the same ids as merging one by one, and as the library."""
+    import sentencepiece as sp
+
+    from dialoom.llm.queries import MODEL
+
+    rng, m, p = random.Random(31), pieces.load(MODEL), sp.SentencePieceProcessor(model_file=MODEL)
+    some = [t for t in m.id_of if "▁" not in t]
+    units = ["".join(rng.choice("aabcdeéinorst▁日") for _ in range(rng.randint(1, 30))) for _ in range(2000)]
+    units += [rng.choice(some) + rng.choice(some) for _ in range(5000)] + ["aaaa" * 50, "".join(rng.choice(some) for _ in range(300)), "ä" * 99, "ab" * 500]
+    by_length = defaultdict(list)
+    for u in units:
+        by_length[len(u)].append(u)
+    for us in by_length.values():
+        assert m._viterbi(us) == [m._fallback(u, m._by_merges(u)[0]) for u in us]
+    texts = [u.replace("▁", " ") for u in units]
+    assert m.encode_batch(texts) == p.encode(texts)
