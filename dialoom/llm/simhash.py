@@ -17,6 +17,11 @@ BITS = np.arange(64, dtype=np.uint64)
 #: Groups of candidate fingerprints above this many are refined by further shared bits.
 MOST_IN_GROUP = 4096
 LEAF = 8
+MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Shingles that are put last in the order of all, at most: they are broadcast, 8 bytes each.
+MOST_OFTEN = 1 << 21
+#: Members before it, under a key, that a text is first compared with.
+NEIGHBOURS = 1
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -206,10 +211,19 @@ def near_duplicates(docs: DataFrame, width: int = 3, most_bits: int = 2) -> Data
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """The sorted distinct hashes of a text's word shingles; a shorter text is one shingle."""
+    """The sorted distinct keys of a text's word shingles; a shorter text is one shingle.
+
+    Words are hashed once each and their hashes mixed along the shingle.
+    """
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    shingles = [b" ".join(w)] if len(w) < width else map(b" ".join, zip(*(w[i:] for i in range(width))))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64)).view(np.int64)
+    known = {x: xxhash.xxh64_intdigest(x, 42) for x in set(w)}
+    h = np.fromiter(map(known.__getitem__, w), np.uint64, len(w))
+    n = max(1, len(h) - width + 1)
+    out = np.full(n, len(w) if len(w) < width else width, np.uint64)
+    for k in range(min(width, len(h))):
+        out = (out ^ h[k : k + n]) * MIX
+        out ^= out >> np.uint64(29)
+    return np.unique(out).view(np.int64)
 
 
 def text_node(text: Column) -> Column:
@@ -217,71 +231,147 @@ def text_node(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, hot: int = 256) -> DataFrame:
+def rare_first(h: np.ndarray, often: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` shingles in the common order: those in ``often`` (sorted) come last, else by key."""
+    if len(often):
+        at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+        h = h[np.argsort(often[at] == h, kind="stable")]
+    return h[:n]
+
+
+def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, least: int = 32, most_often: int = MOST_OFTEN) -> DataFrame:
     """(node, component) of all texts linked to another one: components over pairs of at least this Jaccard similarity of word shingles.
 
     SimHash bits can't find them: such pairs differ by up to a quarter of the bits.
-    Two sets this similar share one of the first n - ceil(similarity * n) + 1
-    shingles of each, in whatever common order; so those are the keys, and no pair is lost.
-    Shingles that more than ``hot`` texts have among their first come last in the
-    order. Candidates are compared exactly: first with the least text of each key, then
-    all those of a key that no links join yet.
+    Two sets this similar share one of the first n - ceil(similarity * n) + 1 shingles of
+    each, in whatever common order; so those are the keys, and no pair is lost. Shingles that many texts
+    have among their first come last in the order: those of more than ``least`` texts, or the ``most_often`` most
+    common ones. That bounds what is broadcast and changes no result. Keys are shuffled once and met in order;
+    of each pair, the shared key must come early enough in both sets for the rest to reach the similarity.
+    Candidates are compared exactly: first those next to each other under a key, then those
+    that no links join yet. So a large group of near copies gives a few pairs a text, not all.
     """
     sc = docs.sparkSession.sparkContext
-    nodes = stored(docs.select(text_node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "texts")
+    nodes = stored(docs.select(text_node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "texts", compression="zstd")
 
     def first(common: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            last = common.value
             for b in batches:
-                ids, keys, sizes = [], [], []
+                ids, keys, sizes, places = [], [], [], []
                 for node, t in zip(b.column(0).to_pylist(), b.column(1)):
                     h = shingle_set(t.as_py(), width)
-                    n = len(h)
-                    h = h[np.argsort(np.isin(h, last), kind="stable")][: n - int(np.ceil(similarity * n - 1e-9)) + 1]
-                    ids.append(np.full(len(h), node, np.int64))
-                    keys.append(h)
-                    sizes.append(np.full(len(h), n, np.int32))
+                    k = rare_first(h, common.value, len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1)
+                    ids.append(np.full(len(k), node, np.int64))
+                    keys.append(k)
+                    sizes.append(np.full(len(k), len(h), np.int32))
+                    places.append(np.arange(len(k), dtype=np.int32))
                 if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, keys, sizes)], names=["node", "key", "n"])
-
-        return nodes.mapInArrow(run, "node long, key long, n int")
-
-    none = sc.broadcast(np.zeros(0, np.int64))
-    often = first(none).groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("key").toPandas()
-    keys = first(sc.broadcast(np.sort(often["key"].to_numpy(np.int64))))
-    keys = stored(keys, "keys")
-    groups = keys.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("node", "n")).alias("least")).where("m > 1").drop("m")
-    shared = stored(keys.join(groups, "key"), "shared")
-    discard(keys)
-    fits = lambda m, n: F.least(m, n) >= F.greatest(m, n) * similarity - 1e-9
-    stars = stored(shared.where((F.col("node") != F.col("least.node")) & fits(F.col("n"), F.col("least.n"))).select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct(), "candidates")
-
-    def verified(pairs: DataFrame) -> DataFrame:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, keys, sizes, places)], names=["node", "key", "n", "place"])
+
+        return nodes.mapInArrow(run, "node long, key long, n int, place int")
+
+    counts = stored(first(sc.broadcast(np.zeros(0, np.int64))).groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > least), "often")
+    by_count = counts.groupBy("m").agg(F.count("*").alias("keys")).orderBy(F.col("m").desc()).collect()  # one row a count
+    total, above = 0, least
+    for r in by_count:
+        total += r["keys"]
+        if total > most_often:
+            above = r.m
+            break
+    often = counts.where(F.col("m") > above).select("key").toPandas()["key"].to_numpy(np.int64)
+    discard(counts)
+    need = 2 * similarity / (1 + similarity)  # two sets of m and n share at least need * (m + n) / 2
+
+    def solve(key, node, n, place, of, steps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a key's members: each with those ``steps`` places before it, of other components only; each pair once."""
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[start, len(key)])
+        rank, size = np.arange(len(key)) - np.repeat(start, size), np.repeat(size, size)
+        out = []
+        for step in steps:
+            at = np.flatnonzero(rank >= step)
+            if len(at):
+                a, b = at - step, at
+                both = need * (n[a].astype(float) + n[b]) / 2 - 1e-9
+                ok = (of[a] != of[b]) & (n[a] - place[a] >= both) & (n[b] - place[b] >= both) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+                out.append(np.stack([np.minimum(node[a], node[b])[ok], np.maximum(node[a], node[b])[ok]]))
+            if out and (not len(at) or step == steps[-1] or sum(x.shape[1] for x in out) > 1_000_000):
+                x = np.unique(np.concatenate(out, 1), axis=1)
+                yield x[0], x[1]
+                out = []
+            if not len(at):
+                return
+
+    def by_key(work):
+        """A function over batches sorted by key that gives whole keys to ``work``."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None
             for b in batches:
-                ok = []
-                for s, t in zip(b.column(2), b.column(3)):
-                    x, y = shingle_set(s.as_py(), width), shingle_set(t.as_py(), width)
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        t = stored(nodes.join(wanted, "node", "left_semi"), "wanted")
-        both = pairs.join(t.select(F.col("node").alias("a"), F.col("text").alias("s")), "a").join(t.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
-        out = stored(both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long"), "links")
-        discard(t)
-        return out
-
-    near = verified(stars)
+                now = [b.column(x).to_numpy(zero_copy_only=False) for x in range(b.num_columns)]
+                held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+                cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
+                if cut > 100_000:
+                    yield from work(*(x[:cut] for x in held))
+                    held = [x[cut:] for x in held]
+            if held is not None and len(held[0]):
+                yield from work(*held)
+
+        return run
+
+    def close(key, node, n, place) -> Iterator[pa.RecordBatch]:
+        """Pairs (key null) of neighbours within a key; the members of keys with more, for later.
+
+        Each key has an order of its own, so that a text meets others under each.
+        """
+        by = np.lexsort(((node ^ key).view(np.uint64) * MIX, key))
+        key, node, n, place = key[by], node[by], n[by], place[by]
+        for a, b in solve(key, node, n, place, node, range(1, NEIGHBOURS + 1)):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], names=["key", "a", "b", "n", "place"])
+        size = np.unique(key, return_counts=True)[1]
+        more = np.repeat(size > NEIGHBOURS + 1, size)
+        if more.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64()), pa.array(n[more]), pa.array(place[more])], names=["key", "a", "b", "n", "place"])
+
+    def far(key, node, n, place, of) -> Iterator[pa.RecordBatch]:
+        for a, b in solve(key, node, n, place, of, range(NEIGHBOURS + 1, len(key) + 1)):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    keys = first(sc.broadcast(np.sort(often))).select("key", "node", "n", "place")
+    met = stored(keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(by_key(close), "key long, a long, b long, n int, place int"), "met")
+    near = stored(verified(met.where("key IS NULL").select("a", "b").distinct(), nodes, width, similarity), "links")
     of = components(near)
-    rest = shared.select("key", "node", "n").join(of, "node", "left").withColumn("of", F.coalesce("component", "node")).drop("component")
-    split = rest.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q")).where("p <> q").select("key")
-    rest = stored(rest.join(split, "key", "left_semi"), "rest")
-    left, right = rest.select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("of").alias("oa")), rest.select("key", F.col("node").alias("b"), "n", F.col("of").alias("ob"))
-    more = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("oa") != F.col("ob")) & fits(F.col("m"), F.col("n"))).select("a", "b").distinct()
-    more = stored(more.join(stars.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti"), "candidates")
-    out = components(near.unionByName(verified(more)))
-    discard(nodes, shared, rest, stars, more)
+    left = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"), "n", "place").join(of, "node", "left").select("key", "node", "n", "place", F.coalesce("component", "node").alias("of"))
+    split = left.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q")).where("p <> q").select("key")
+    left = left.join(split, "key", "left_semi").repartition("key").sortWithinPartitions("key", "node")
+    more = stored(left.mapInArrow(by_key(far), "a long, b long").distinct(), "pairs")
+    if not more.isEmpty():
+        near = near.unionByName(stored(verified(more, nodes, width, similarity), "links"))
+    out = components(near)
+    discard(nodes, met, more)
     return out
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs of ``pairs(a, b)`` whose texts in ``nodes(node, text)`` are similar enough.
+
+    Texts of candidates are shuffled as sets of shingles; pairs of one text are dealt to several tasks.
+    """
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = [shingle_set(t.as_py(), width).tobytes() for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())], names=["node", "h"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for s, t in zip(b.column(2), b.column(3)):
+                x, y = (np.frombuffer(v.as_buffer(), np.int64) for v in (s, t))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = stored(nodes.join(wanted, "node", "left_semi").mapInArrow(sets, "node long, h binary"), "sets")
+    one = salted(pairs, texts.select(F.col("node").alias("a"), F.col("h").alias("s")), "a", "b", 2)
+    both = salted(one, texts.select(F.col("node").alias("b"), F.col("h").alias("t")), "b", "a", 2)
+    return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
