@@ -53,7 +53,7 @@ class GenerationConfig:
 
     @staticmethod
     def gates() -> tuple[str, ...]:
-        return ("clipping_peak_threshold", "alignment_min_confidence")
+        return ("clipping_peak_threshold", "alignment_min_confidence", "max_dialogue_seconds", "min_utterance_seconds")
 
     def as_dict(self) -> dict:
         return {k: list(v) if isinstance(v, tuple) else v for k, v in asdict(self).items()}

@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dialoom.config import ALIGNED_SPEAKER, BYTES_PER_SECOND, CHARS_PER_SECOND, LIMITER_CEILING, PAUSE_ESTIMATE, SPEECH_FLOOR, GenerationConfig
+from dialoom.config import ALIGNED_SPEAKER, ALIGNMENT_TOLERANCE, BYTES_PER_SECOND, CHARS_PER_SECOND, LIMITER_CEILING, PAUSE_ESTIMATE, SPEECH_FLOOR, GenerationConfig
 from dialoom.functions.signal import bind
 from dialoom.functions.text import tokens
 from dialoom.operators.assignment import language, pause_before, speed_of_turn, user_speed, user_voice, voice_of_turn
@@ -105,20 +105,35 @@ def _columns() -> list[str]:
     return ["split", "id", "reason", "left", "right", "duration_seconds", "placements", "alignments", "confidence_mean", "confidence_min", "flagged", "rms_left", "rms_right", "peak_left", "peak_right"]
 
 
-def faded(x: np.ndarray, rate: int, seconds: float) -> np.ndarray:
-    n = min(round(rate * seconds), len(x) // 2)
-    if n <= 0:
-        return x
-    ramp = np.linspace(0, 1, n, dtype=np.float32)
-    out = x.copy()
-    out[:n] *= ramp
-    out[-n:] *= ramp[::-1]
-    return out
+def envelope(lengths: list[int], rate: int, seconds: float) -> np.ndarray:
+    """Weights of the samples of utterances end to end: each rises from nothing and falls back to it."""
+    n = np.repeat(lengths, lengths)
+    k = np.arange(len(n)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    ramp = np.minimum(round(rate * seconds), n // 2)
+    edge = np.minimum(k, n - 1 - k) / np.maximum(ramp - 1, 1)
+    return np.where(ramp > 0, np.minimum(edge, 1.0), 1.0).astype(np.float32)
 
 
-def limited(x: np.ndarray) -> np.ndarray:
-    top = float(np.abs(x).max()) if len(x) else 0.0
-    return (x * (LIMITER_CEILING / top)).astype(np.float32) if top > 1 else x
+def gain(tracks: np.ndarray) -> np.ndarray:
+    """What each track is multiplied by so that none passes full scale."""
+    top = np.abs(tracks).max(axis=1, initial=0.0)
+    return np.where(top > 1, LIMITER_CEILING / np.maximum(top, 1.0), 1.0).astype(np.float32)
+
+
+def aligned_reason(words: list[tuple[str, float, float, float]], seconds: float) -> str | None:
+    """What is wrong with the words of one utterance: none, or times and scores that aren't finite, run backwards or leave it."""
+    if not words:
+        return "no words"
+    t = np.array([w[1:] for w in words], float)
+    if not np.isfinite(t).all():
+        return "times and scores must be finite"
+    if any(not str(w[0]).strip() for w in words):
+        return "words must be nonempty"
+    if (t[:, 1] <= t[:, 0]).any() or (t[1:, 0] < t[:-1, 1] - 1e-9).any() or t[0, 0] < 0:
+        return "times must go forward"
+    if t[-1, 1] > seconds + ALIGNMENT_TOLERANCE:
+        return "times end after the sound"
+    return None
 
 
 def make(split: str, id_: str, turns, config: GenerationConfig, synth: Synth, align: Align) -> tuple:
@@ -141,7 +156,7 @@ def make(split: str, id_: str, turns, config: GenerationConfig, synth: Synth, al
             return failed(f"turn[{t['index']}] is too short")
         if not np.isfinite(x).all():
             return failed(f"turn[{t['index']}] has non-finite samples")
-        pieces.append((t, faded(x, rate, config.fade_seconds)))
+        pieces.append((t, x))
     total, places = 0, []
     for t, x in pieces:
         start = total + round(t["pause"] * rate)
@@ -149,18 +164,23 @@ def make(split: str, id_: str, turns, config: GenerationConfig, synth: Synth, al
         places.append({"index": int(t["index"]), "speaker": t["speaker"], "start_sample": start, "end_sample": total})
     if total / rate > config.max_dialogue_seconds:
         return failed("dialogue is too long")
-    side = {"assistant": np.zeros(total, np.float32), "user": np.zeros(total, np.float32)}
-    for p, (t, x) in zip(places, pieces):
-        side[t["speaker"]][p["start_sample"] : p["end_sample"]] = x
-    left, right = limited(side["assistant"]), limited(side["user"])
+    shape = np.split(envelope([len(x) for _, x in pieces], rate, config.fade_seconds), np.cumsum([len(x) for _, x in pieces])[:-1])
+    tracks = np.zeros((2, total), np.float32)
+    for p, (t, x), w in zip(places, pieces, shape):
+        tracks[int(t["speaker"] != "assistant"), p["start_sample"] : p["end_sample"]] = x * w
+    left, right = loud = tracks * gain(tracks)[:, None]
+    if np.abs(loud).max(initial=0.0) >= config.clipping_peak_threshold:
+        return failed("clipping after assembly")
     aligned, scores = [], []
     for p, (t, x) in zip(places, pieces):
         if t["speaker"] != "assistant":
             continue
         try:
-            words = align(x, rate, t["text"])
+            words = align(tracks[0, p["start_sample"] : p["end_sample"]], rate, t["text"])
         except Exception as e:  # noqa: BLE001
             return failed(f"turn[{t['index']}] alignment failed: {e}")
+        if wrong := aligned_reason(words, len(x) / rate):
+            return failed(f"turn[{t['index']}] alignment failed: {wrong}")
         at = p["start_sample"] / rate
         aligned += [{"word": w, "start": round(at + a, 4), "end": round(at + z, 4), "speaker": ALIGNED_SPEAKER} for w, a, z, _ in words]
         scores += [c for *_, c in words]
