@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import functools
 import sys
 import time
 import uuid
@@ -83,6 +84,8 @@ def run_generation(spark: SparkSession, args: argparse.Namespace, synth=generati
         print(generation.dry_run(records).first().asDict())
         return 0
     root, began = args.output_root.rstrip("/"), time.time()
+    for table in ("companions", "receipts/completed"):
+        sinks.settle(spark, f"{root}/{table}")
     todo = records
     if args.resume:
         state = incremental.verify(records, sound(spark, root, splits, config), companions(spark, root).select("split", "id", "parsed", "alignments"), receipts(spark, root), config)
@@ -101,8 +104,14 @@ def run_generation(spark: SparkSession, args: argparse.Namespace, synth=generati
     if dialogues.exists(spark, old_path):
         new = spark.read.parquet(old_path).join(new.select("split", "id"), ["split", "id"], "left_anti").unionByName(new)
     sinks.replace(new, old_path)
-    done = full.select(
-        "id", "split", "category", "source_checksum", "config_checksum", F.lit(None).cast("string").alias("wav_checksum"), F.lit(None).cast("string").alias("json_checksum"), "duration_seconds",
+    # Checksums of the files as they are, and of the companions' text, spaces and all.
+    sums = [dialogues.hash_files(spark, f"{root}/{x}/audio/*.wav") for x in splits if dialogues.exists(spark, f"{root}/{x}/audio")]
+    sums = functools.reduce(DataFrame.unionByName, sums, spark.createDataFrame([], "path string, sha256 string"))
+    sums = sums.select(F.regexp_extract("path", r"/([^/]+)/audio/[^/]+$", 1).alias("split"), F.regexp_extract("path", r"([^/]+)\.[^.]*$", 1).alias("id"), F.col("sha256").alias("wav_checksum"))
+    texts = spark.read.parquet(old_path).select("split", "id", hashing.sha256(F.col("json")).alias("json_checksum"))
+    vouched = full.join(sums, ["split", "id"], "left").join(texts, ["split", "id"], "left")
+    done = vouched.select(
+        "id", "split", "category", "source_checksum", "config_checksum", "wav_checksum", "json_checksum", "duration_seconds",
         F.col("confidence_mean").alias("alignment_confidence_mean"), F.col("flagged").alias("flagged_low_confidence"), "user_voice", "assistant_voice", F.lit(time.time()).alias("seq"),
     )
     sinks.append(done, f"{root}/receipts/completed")  # last: a receipt vouches for what is there
@@ -127,8 +136,9 @@ def run_validation(spark: SparkSession, args: argparse.Namespace) -> int:
     index = index.withColumn("source_checksum", hashing.dialogue_checksum(F.col("category"), F.col("id"), F.col("turns")))
     manifest = spark.createDataFrame([], "split string, id string, duration double")
     for s in splits:
-        lines = dialogues.read_log(spark, f"{root}/{s}/manifest", "path string, duration double")
-        m = lines.select(F.lit(s).alias("split"), F.regexp_extract("path", r"([^/]+)\.[^.]*$", 1).alias("id"), "duration").groupBy("split", "id").agg(F.last("duration").alias("duration"))
+        lines = dialogues.read_log(spark, f"{root}/{s}/manifest", "path string, duration double", placed=True)
+        m = lines.select(F.lit(s).alias("split"), F.regexp_extract("path", r"([^/]+)\.[^.]*$", 1).alias("id"), "duration", "at")
+        m = incremental.latest(m, ["split", "id"], "at").select("split", "id", "duration")
         manifest = manifest.unionByName(m)
     c = companions(spark, root).drop("confidence_min", "config_checksum", "duration_seconds")
     checks = qa.check(sound(spark, root, splits, config), c, index, manifest, config).persist()

@@ -74,11 +74,19 @@ def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """An append log of JSON lines; empty if it doesn't exist, an error if a line is bad."""
+def read_log(spark: SparkSession, path: str, schema: str, placed: bool = False) -> DataFrame:
+    """An append log of JSON lines; empty if it doesn't exist, an error if a line is bad.
+
+    ``placed`` adds ``at``, by which lines are in the order in which they were written: by file, and by place in it.
+    """
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).json(path, mode="FAILFAST")
+        at = "at struct<written:timestamp,file:string,block:long,line:long>"
+        return spark.createDataFrame([], f"{schema}, {at}" if placed else schema)
+    log = spark.read.schema(schema).json(path, mode="FAILFAST")
+    if not placed:
+        return log
+    file = [F.col(f"_metadata.{x}").alias(y) for x, y in (("file_modification_time", "written"), ("file_path", "file"), ("file_block_start", "block"))]
+    return log.select("*", F.struct(*file, F.monotonically_increasing_id().alias("line")).alias("at"))
 
 
 def read_documents(spark: SparkSession, paths: str) -> DataFrame:

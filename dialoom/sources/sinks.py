@@ -8,17 +8,39 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: What is added to a table's name while it is swapped.
+ASIDE = ".before"
+
 
 def replace(df: DataFrame, path: str, form: str = "parquet") -> None:
-    """Swap a whole table: written beside the old one, then renamed. The table may be read in the plan."""
+    """Swap a whole table: written beside the old one, which is set aside until the new one has its name.
+
+    The table may be read in the plan. A run that ends between the two renames leaves the old
+    table set aside; ``settle`` puts it back.
+    """
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     stage, target = jvm.org.apache.hadoop.fs.Path(f"{path}.staging-{uuid.uuid4().hex}"), jvm.org.apache.hadoop.fs.Path(path)
     df.write.format(form).save(stage.toString())
-    fs = target.getFileSystem(conf)
-    fs.delete(target, True)
+    fs, aside = target.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(path + ASIDE)
+    settle(spark, path)
+    if fs.exists(target) and not fs.rename(target, aside):
+        raise OSError(f"could not set {path} aside")
     if not fs.rename(stage, target):
         raise OSError(f"could not rename {stage} to {path}")
+    fs.delete(aside, True)
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish a swap that was cut off: a table set aside goes back if nothing has its name, else it goes."""
+    jvm = spark._jvm
+    target, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(path + ASIDE)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(aside):
+        if fs.exists(target):
+            fs.delete(aside, True)
+        else:
+            fs.rename(aside, target)
 
 
 def remove(spark: SparkSession, path: str) -> None:

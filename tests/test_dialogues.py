@@ -207,6 +207,11 @@ def test_whole_run(spark, tmp_path):
     assert cli.run_generation(spark, cli.parser().parse_args([*args, "--dry-run"])) == 0
     assert cli.run_generation(spark, cli.parser().parse_args(args)) == 0
     assert len(list(Path(out).glob("*/audio/*.wav"))) == 5
+    import hashlib
+
+    sums = {(r.split, r.id): (r.wav_checksum, r.json_checksum) for r in cli.receipts(spark, out).collect()}
+    assert len(sums) == 5 and all(x and y for x, y in sums.values())
+    assert all(hashlib.sha256(p.read_bytes()).hexdigest() == sums[p.parent.parent.name, p.stem][0] for p in Path(out).glob("*/audio/*.wav"))
     check = cli.parser().parse_args(["validate", "--source-root", root, "--output-root", out])
     assert cli.run_validation(spark, check) == 0, json.loads((Path(out) / "qa_summary.json").read_text())
     stamps = {p: p.stat().st_mtime_ns for p in Path(out).glob("*/audio/*.wav")}
@@ -217,3 +222,59 @@ def test_whole_run(spark, tmp_path):
     assert cli.run_validation(spark, check) == 0
     assert cli.run_migration(spark, cli.parser().parse_args(["migrate-checksums", "--output-root", out, "--seed", "1", "--dry-run"])) == 0
     assert cli.run_generation(spark, cli.parser().parse_args(["generate", "--source-root", root, "--output-root", out])) == 1  # counts
+
+
+def test_generation_guards(spark, tmp_path):
+    """What the aligner or the assembly gets wrong is the record's reason, and leaves no file and no receipt."""
+    config = GenerationConfig()
+    row = lambda s, t: {"index": 0, "speaker": s, "text": t, "spoken": t, "voice": "af_heart", "speed": 1.0, "lang": "a", "pause": 0.0}
+    said = [row("user", "hi there"), row("assistant", "hello to you")]
+    reason = lambda align, c=config: generation.make("train", "x", said, c, generation.stub_synth, align)[2]
+    assert reason(generation.stub_align) is None
+    bad = {"no words": [], "finite": [("a", float("nan"), 1.0, 0.9)], "forward": [("a", 0.2, 0.1, 0.9)], "after": [("a", 0.0, 99.0, 0.9)], "nonempty": [(" ", 0.0, 0.1, 0.9)]}
+    for part, words in bad.items():
+        assert part in reason(lambda x, r, t, words=words: words)
+    assert reason(lambda *a: 1 / 0).endswith("division by zero")
+    assert reason(generation.stub_align, GenerationConfig(clipping_peak_threshold=1e-6)) == "clipping after assembly"
+    root, out = write_tree(tmp_path / "src", train=[record("t0", 2)], validation=[record("v0", 2)], test=[record("e0", 2)]), str(tmp_path / "out")
+    cli.run_generation(spark, cli.parser().parse_args(["generate", "--source-root", root, "--output-root", out, "--smoke-count", "3"]), align=lambda *a: [])
+    assert not list(Path(out).glob("*/audio/*.wav")) and cli.receipts(spark, out).count() == 0
+
+
+def test_envelope_and_gain_are_the_column_functions(spark):
+    import numpy as np
+
+    from dialoom.functions import signal
+
+    rng = np.random.default_rng(4)
+    parts = [rng.normal(size=n).astype(np.float32) * s for n, s in ((64, 1), (5, 3), (1, 1), (200, 0.1))]
+    shape = np.split(generation.envelope([len(x) for x in parts], 1000, 0.012), np.cumsum([len(x) for x in parts])[:-1])
+    for x, w in zip(parts, shape):
+        want = spark.createDataFrame([(x.tolist(),)], "s array<float>").select(signal.fade(F.col("s"), 1000, 0.012).alias("f")).first().f
+        assert np.allclose(x * w, want, atol=1e-5)
+    tracks = np.stack([parts[3], parts[3] * 100])
+    want = [spark.createDataFrame([(x.tolist(),)], "s array<float>").select(signal.limit(F.col("s")).alias("f")).first().f for x in tracks]
+    assert np.allclose(tracks * generation.gain(tracks)[:, None], want, atol=1e-4)
+
+
+def test_limits_keep_finished_work():
+    from dialoom.functions.hashing import config_checksum
+
+    same = lambda **k: config_checksum(GenerationConfig(**k).audio_dict(), "train", "v") == config_checksum(GenerationConfig().audio_dict(), "train", "v")
+    assert same(max_dialogue_seconds=5.0, min_utterance_seconds=1.0, alignment_min_confidence=0.1) and not same(fade_seconds=0.1)
+
+
+def test_swaps_and_the_last_line(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for k in range(3):
+        sinks.replace(spark.createDataFrame([(k,)], "k long"), path)
+    Path(path).rename(path + sinks.ASIDE)  # a run that ended between the renames
+    sinks.settle(spark, path)
+    assert spark.read.parquet(path).first().k == 2
+    sinks.replace(spark.read.parquet(path).withColumn("k", F.col("k") + 1), path)
+    assert spark.read.parquet(path).first().k == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    log = str(tmp_path / "log")
+    for k in range(4):
+        sinks.append(spark.createDataFrame([("a", float(k)), ("a", k + 0.5), ("b", float(-k))], "path string, duration double").coalesce(1), log)
+    last = incremental.latest(dialogues.read_log(spark, log, "path string, duration double", placed=True), "path", "at")
+    assert {r.path: r.duration for r in last.collect()} == {"a": 3.5, "b": -3.0}
