@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dialoom.llm.common import discard, stored
 
@@ -90,10 +90,13 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     cuts = spark.sparkContext.broadcast(range_cuts(found))
 
     @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
+    def of_id(ids: pd.Series) -> pd.Series:
         # Ranges count from the greatest ids, so the next document lies in the same range or the next one.
-        at = len(cuts.value) - np.searchsorted(cuts.value, ids.fillna(0).to_numpy(np.int64), side="left")
-        return pd.Series(np.where(ids.isna(), len(cuts.value) + 1, at).astype(np.int32))
+        return pd.Series((len(cuts.value) - np.searchsorted(cuts.value, ids.to_numpy(np.int64), side="left")).astype(np.int32))
+
+    def place(doc_id: str) -> Column:
+        # Nulls don't reach the function: a batch with one would arrive as doubles, which great ids don't survive.
+        return F.when(F.col(doc_id).isNull(), F.lit(len(cuts.value) + 1)).otherwise(of_id(F.coalesce(F.col(doc_id), F.lit(0).cast("long"))))
 
     heads = found.select("doc_id", place("doc_id").alias("range")).groupBy("range").agg(F.max("doc_id").alias("head")).orderBy("range").collect()  # one row a range
     # The head of each range visits the range before it, the first head the last range.
@@ -108,11 +111,11 @@ def fingerprint(docs: DataFrame) -> DataFrame:
         e = text[: len(text) - k] + nxt[:k]
         c, ce, cn = canonical(text), canonical(e), canonical(nxt)
         dg = digest(c)
-        s = slot(dg)
-        check = c if bitmap.value[s >> 3] >> (s & 7) & 1 else None
-        return (doc_id, len(text), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), dg, digest(ce), float(c == ce), float(c == cn), check)
+        de = digest(ce)
+        check, check_e = (x if bitmap.value[s >> 3] >> (s & 7) & 1 else None for x, s in ((c, slot(dg)), (hashlib.sha256(ce).hexdigest(), slot(de))))
+        return (doc_id, len(text), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), dg, de, float(c == ce), float(c == cn), check, check_e)
 
-    fields = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("canon", pa.binary())])
+    fields = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()), ("canon", pa.binary()), ("edited_canon", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row that waits for its next one
@@ -125,14 +128,17 @@ def fingerprint(docs: DataFrame) -> DataFrame:
                 held = None if guest else (doc_id, text)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), fields)] if out else [pa.array([], f.type) for f in fields], schema=fields)
 
-    out = stored(dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, canon binary"), "fingerprints")
+    out = stored(dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, canon binary, edited_canon string"), "fingerprints")
     clash = same_bytes(out.where("canon IS NOT NULL").select(F.col("fingerprint").alias("digest"), "canon"))
     # Different texts of one digest (none are known) are told apart by a second, longer digest.
     clashing = stored(clash, "clashes")
     out = out.join(clashing, out.fingerprint == clashing.digest, "left")
+    again = clashing.select(F.col("digest").alias("edited_digest"))
+    out = out.join(again, out.edited_fingerprint == again.edited_digest, "left")
     discard(found)
     own = F.when(F.col("digest").isNotNull(), F.concat("fingerprint", F.lit("-"), F.sha2("canon", 256))).otherwise(F.col("fingerprint"))
-    return out.select("doc_id", "n_chars", "edited_sha256", own.alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next")
+    edited_own = F.when(F.col("edited_digest").isNotNull(), F.concat("edited_fingerprint", F.lit("-"), "edited_canon")).otherwise(F.col("edited_fingerprint"))
+    return out.select("doc_id", "n_chars", "edited_sha256", own.alias("fingerprint"), edited_own.alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 def range_cuts(found: DataFrame) -> np.ndarray:
