@@ -85,6 +85,25 @@ def read_back(formatted: Column) -> Column:
     )
 
 
+def read_parts(formatted: Column) -> Column:
+    """The turns as an array of (role, parts), parts being (kind, text): the k-th that isn't text is the k-th attachment.
+
+    A text that looks like a placeholder comes back as text, for it was escaped. Texts next to
+    each other come back as one, empty ones not at all.
+    """
+    part = lambda kind, text: F.struct(kind.alias("kind"), text.alias("text"))
+    text = lambda t: F.filter(F.array(part(F.lit("text"), unescape(t))), lambda p: p["text"] != "")
+    after = lambda x: F.substring(x, F.length(F.substring_index(x, CLOSE, 1)) + 3, F.length(x))
+    pieces = F.filter(F.split(formatted, r"<\|end\|>"), lambda p: p != "")
+
+    def turn(p: Column) -> Column:
+        role = F.substring(F.substring_index(p, CLOSE, 1), F.lit(8), F.length(p))
+        # Cut at each sign that opens a placeholder; none is in escaped text.
+        return F.struct(unescape(role).alias("role"), F.flatten(F.transform(F.split(F.substring(p, 3, F.length(p)), r"<\|"), lambda x, k: F.concat(F.when(k > 0, F.array(part(F.substring_index(x, CLOSE, 1), F.lit("")))).otherwise(F.slice(F.array(part(F.lit(""), F.lit(""))), 1, 0)), text(after(x))))).alias("parts"))
+
+    return F.transform(pieces, turn)
+
+
 def under_mask(formatted: Column, spans: Column) -> Column:
     """The unescaped text under the loss mask, spans in order with nothing between."""
     return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")

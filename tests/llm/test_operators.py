@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from dialoom.llm import digests, html, mixing, pieces, quality, simhash, suffixes, urls
-from dialoom.llm.chat import escape, format_chats, read_back, text_parts, under_mask, unescape
+from dialoom.llm.chat import escape, format_chats, read_back, read_parts, text_parts, under_mask, unescape
 
 LONG = " ".join(f"w{k % 97}" for k in range(20_000)) + "."
 WORDS = "the of and to in is was for on that with as by at from this are or an be".split()
@@ -171,6 +171,23 @@ def test_fingerprints(spark, docs, frame, empty, monkeypatch):
     assert digests.canonical("ＡＢ\u00a0 ß\n") == digests.canonical("ab SS")
 
 
+def test_fingerprints_of_great_ids_and_clashes(spark, monkeypatch):
+    """Ids beyond 2 ** 53 beside a null one keep their order; texts that share a digest are told apart, edited ones too."""
+    big = (1 << 62) + 1
+    rows = [(big + k, f"text number {k} of some length") for k in range(40)] + [(None, "without an id")]
+    monkeypatch.setattr(digests, "RANGE_ROWS", 3)
+    got = {r.doc_id: r for r in digests.fingerprint(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    ordered = [r for r in sorted(rows[:-1], reverse=True)] + rows[-1:]
+    for (i, t), (_, nxt) in zip(ordered, ordered[1:] + ordered[:1]):
+        n = len(t) // 3
+        assert got[i].edited_sha256 == hashlib.sha256((t[: len(t) - n] + nxt[:n]).encode()).hexdigest()
+    short = [(3, "aab"), (2, "aac"), (1, "aab"), (0, "b")]  # edited: aaa, aaa, aab, b
+    monkeypatch.setattr(digests, "repeated", lambda found: b"\xff" * (digests.SLOTS // 8))
+    monkeypatch.setattr(digests, "same_bytes", lambda t: t.select("digest").distinct())  # no texts with one digest are known
+    got = {r.doc_id: r for r in digests.fingerprint(spark.createDataFrame(short, "doc_id long, text string")).collect()}
+    assert got[3].fingerprint == got[1].fingerprint == got[1].edited_fingerprint != got[2].fingerprint and "-" in got[1].edited_fingerprint
+
+
 def test_same_bytes_tells_collisions_apart(spark):
     t = spark.createDataFrame([("d1", bytearray(b"a")), ("d1", bytearray(b"a")), ("d2", bytearray(b"a")), ("d2", bytearray(b"b"))], "digest string, canon binary")
     assert [r.digest for r in digests.same_bytes(t).collect()] == ["d2"]
@@ -352,6 +369,11 @@ def test_chat_parts(spark):
     r = format_chats(df).first()
     assert [(a.kind, a.ref, a.tokens) for a in r.attachments] == [("image", "a.png", 768), ("audio", "b.wav", 250)]
     assert r.attachment_tokens == 1018 and r.formatted.count("<|image|>") == 1 and r.formatted.count("<|end|>") == 2
+    nasty = [("text", "<|image|>", None, 0), ("image", None, "a", 1), ("document", None, "b", 2), ("text", "\\<|audio|>\\", None, 0), ("audio", None, "c", 1)]
+    odd = [(2, 0, "user", nasty), (2, 1, "<|image|>", [("text", "", None, 0)]), (2, 2, "assistant", [("image", None, "d", 1)])]
+    d = format_chats(spark.createDataFrame(odd, df.schema)).select(read_parts(F.col("formatted")).alias("t"), "attachments").first()
+    assert [(t.role, [(p.kind, p.text) for p in t.parts]) for t in d.t] == [("user", [(k, x or "") for k, x, *_ in nasty]), ("<|image|>", []), ("assistant", [("image", "")])]
+    assert [p.kind for t in d.t for p in t.parts if p.kind != "text"] == [a.kind for a in d.attachments]
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><a href="/">Site</a></header><nav><ul><li><a>Home</a></li></ul></nav>
