@@ -10,6 +10,7 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import SparkFiles
@@ -95,7 +96,7 @@ class Pieces:
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if apart else "(?s).+", re.S)
         self.bytes = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else t.replace(SPACE, " ").encode("utf-8") for t, k in zip(self.text, self.kind)]
         self.known: dict[str, list[int]] = {}
-        self.kept = 0
+        self.kept, self.odd = 0, set()
         if self.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are read")
         if self.model_type == BPE:
@@ -295,18 +296,47 @@ class Pieces:
             return ""
         return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
 
-    def encode_batch(self, texts: list[str]) -> list[list[int]]:
-        units = [self.units.findall(self.normal(t)) for t in texts]
+    def encode_arrays(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of texts end to end, where each text's begin (and the last one's end), and whether decoding gives each back.
+
+        Only different units are looked up, encoded and decoded; ids are then gathered by unit.
+        """
+        normal = [self.normal(t) for t in texts]
+        units = [self.units.findall(t) for t in normal]
+        per_text = np.fromiter(map(len, units), np.int64, len(units))
+        code, distinct = pd.factorize(np.array([*chain.from_iterable(units)], object))
         if self.kept > REMEMBERED:
-            self.known, self.kept = {}, 0
+            self.known, self.odd, self.kept = {}, set(), 0
         known, by_length = self.known, {}
-        for u in {u for us in units for u in us if u not in known}:
-            by_length.setdefault(len(u), []).append(u)
+        for u in distinct:
+            if u not in known:
+                by_length.setdefault(len(u), []).append(u)
         for length, us in by_length.items():
             step = max(1, 400_000 // length)
-            known.update(pair for k in range(0, len(us), step) for pair in zip(us[k : k + step], self._viterbi(us[k : k + step])))
+            for k in range(0, len(us), step):
+                for u, ids in zip(us[k : k + step], self._viterbi(us[k : k + step])):
+                    known[u] = ids
+                    if b"".join([self.bytes[i] for i in ids]) != u.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+                        self.odd.add(u)
             self.kept += length * len(us)
-        return [list(chain.from_iterable(map(known.__getitem__, us))) for us in units]
+        found = [known[u] for u in distinct]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        every = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
+        taken = size[code]
+        ends = np.r_[0, np.cumsum(taken)]
+        ids = every[np.repeat((np.cumsum(size) - size)[code] - ends[:-1], taken) + np.arange(ends[-1])]
+        text_ends = np.r_[0, np.cumsum(per_text)]
+        odd = np.r_[0, np.cumsum(np.fromiter((u in self.odd for u in distinct), np.int64, len(distinct))[code])] if self.odd else np.zeros(len(code) + 1, np.int64)
+        whole = odd[text_ends[1:]] == odd[text_ends[:-1]]
+        begin = ends[text_ends]
+        for k, t in enumerate(texts):
+            if SPACE in t or not whole[k]:
+                whole[k] = self.decode(ids[begin[k] : begin[k + 1]]) == (re.sub(" +", " ", t).strip(" ") if self.squeeze else t)
+        return ids, begin, whole
+
+    def encode_batch(self, texts: list[str]) -> list[list[int]]:
+        ids, begin, _ = self.encode_arrays(texts)
+        return [ids[a:z].tolist() for a, z in zip(begin[:-1], begin[1:])]
 
     def decode(self, ids) -> str:
         t = b"".join([self.bytes[i] for i in ids]).decode("utf-8", "replace")
@@ -349,10 +379,9 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame
             k = b.num_columns - 1
             for part in by_size(b, k):
                 texts = [t or "" for t in part.column(k).to_pylist()]
-                ids = m.encode_batch(texts)
-                same = [m.decode(x) == (re.sub(" +", " ", t).strip(" ") if m.squeeze else t) for x, t in zip(ids, texts)]
+                ids, begin, same = m.encode_arrays(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:k], pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())],
+                    [*part.columns[:k], pa.array(np.diff(begin)), pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids)), pa.array(same)],
                     names=[*cols, "n_tokens", "ids", "round_trip"],
                 )
 
