@@ -95,7 +95,7 @@ class Pieces:
         apart = not any(SPACE in t.lstrip(SPACE) for t in self.id_of)
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if apart else "(?s).+", re.S)
         self.bytes = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else t.replace(SPACE, " ").encode("utf-8") for t, k in zip(self.text, self.kind)]
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self.kept, self.odd = 0, set()
         if self.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are read")
@@ -120,8 +120,8 @@ class Pieces:
             h[:, k + 1] = h[:, k] * PRIME + codes[:, k] + np.uint64(1)
         return h
 
-    def _viterbi(self, units: list[str]) -> list[list[int]]:
-        """Best segmentations of units of one length, which advance together by one end after the other.
+    def _viterbi(self, units: list[str]) -> list[bytes]:
+        """Best segmentations of units of one length, as 32-bit ids, which advance together by one end after the other.
 
         Unigram: the sum of the pieces' scores is greatest. BPE: a piece may follow another only if
         merging leaves both as they are; each prefix then has one path, the one that the merges give.
@@ -171,10 +171,13 @@ class Pieces:
         while end.any():
             path.append(np.where(end > 0, last[r, end], NONE))
             end = back[r, end]
-        path = np.stack(path[::-1], 1)
-        count, odd = (path != NONE).sum(1).tolist(), (path == -1).any(1).tolist()
-        out = [p[len(p) - k :] for p, k in zip(path.tolist(), count)]
-        return [self._fallback(u, x) if o else x for u, x, o in zip(units, out, odd)]
+        path = np.stack(path[::-1], 1).astype(np.int32)
+        width, flat = path.shape[1] * 4, path.tobytes()
+        first, odd = ((path == NONE).sum(1) * 4).tolist(), (path == -1).any(1).tolist()
+        out = [flat[k * width + a : (k + 1) * width] for k, a in enumerate(first)]
+        for k in np.flatnonzero(odd).tolist():
+            out[k] = np.array(self._fallback(units[k], np.frombuffer(out[k], np.int32).tolist()), np.int32).tobytes()
+        return out
 
     def _stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the texts of pieces a and b, end to end, gives a and b again (-1: nothing to merge with).
@@ -316,12 +319,12 @@ class Pieces:
             for k in range(0, len(us), step):
                 for u, ids in zip(us[k : k + step], self._viterbi(us[k : k + step])):
                     known[u] = ids
-                    if b"".join([self.bytes[i] for i in ids]) != u.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+                    if b"".join([self.bytes[i] for i in memoryview(ids).cast("i")]) != u.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
                         self.odd.add(u)
             self.kept += length * len(us)
         found = [known[u] for u in distinct]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        every = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        every = np.frombuffer(b"".join(found), np.int32)
         taken = size[code]
         ends = np.r_[0, np.cumsum(taken)]
         ids = every[np.repeat((np.cumsum(size) - size)[code] - ends[:-1], taken) + np.arange(ends[-1])]
