@@ -85,7 +85,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = stored(digests(d), "digests")
+    found = stored(digests(d), "digests", compression="zstd")
     bitmap = spark.sparkContext.broadcast(repeated(found))
     cuts = spark.sparkContext.broadcast(range_cuts(found))
 
@@ -128,7 +128,7 @@ def fingerprint(docs: DataFrame) -> DataFrame:
                 held = None if guest else (doc_id, text)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), fields)] if out else [pa.array([], f.type) for f in fields], schema=fields)
 
-    out = stored(dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, canon binary, edited_canon string"), "fingerprints")
+    out = stored(dealt.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, canon binary, edited_canon string"), "fingerprints", compression="zstd")
     clash = same_bytes(out.where("canon IS NOT NULL").select(F.col("fingerprint").alias("digest"), "canon"))
     # Different texts of one digest (none are known) are told apart by a second, longer digest.
     clashing = stored(clash, "clashes")
