@@ -30,7 +30,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one of the smallest id; of its repeated rows, the least.
 
-    Near copies share at least 0.8 of their five-word shingles. Texts of one id that aren't linked
+    Near copies share at least 0.8 of their five-word shingles: SimHash indexes propose them, an exact check
+    decides, and what is too far apart for SimHash is sought by shared shingles. Texts of one id that aren't linked
     all stay, and so do documents without an id.
     """
     named = docs.where("doc_id IS NOT NULL")

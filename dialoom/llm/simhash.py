@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import components, discard, salted, stored
+from dialoom.llm.common import components, discard, release, salted, stored
 
 BITS = np.arange(64, dtype=np.uint64)
 #: Groups of candidate fingerprints above this many are refined by further shared bits.
@@ -20,8 +21,14 @@ LEAF = 8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Shingles that are put last in the order of all, at most: they are broadcast, 8 bytes each.
 MOST_OFTEN = 1 << 21
-#: Members before it, under a key, that a text is first compared with.
-NEIGHBOURS = 1
+#: Texts whose SimHashes differ by so many bits at most are sought among all texts,
+NEAR_BITS = 5
+#: and by so many among those that share one of their first shingles.
+WIDE_BITS = 20
+#: Bits of the sketches that travel with keys.
+KEY_SKETCH = 512
+#: Slots of the map of wanted nodes: 8 MB.
+SLOTS = 1 << 26
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -30,7 +37,11 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     if not w:
         return 0
     shingles = [b" ".join(w)] if len(w) < width else map(b" ".join, zip(*(w[i:] for i in range(width))))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64)
+    return majority(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The word of the bits that are set in over half of the 64-bit hashes."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):  # bounded memory for very long texts
         part = np.ascontiguousarray(hashes[at : at + 4096]).view(np.uint8)
@@ -84,6 +95,27 @@ class GrayIndex:
         i, j = self.order[i], self.order[j]
         return np.minimum(i, j), np.maximum(i, j)
 
+    def nearest(self, most: int, ok=None) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of places: each word with the one of the fewest differing bits, at most ``most``, among those that are ``ok``."""
+        step = max(1, min(512, (1 << 20) // len(self.fp)))
+        least, mate = np.full(len(self.fp), 65), np.full(len(self.fp), -1)
+        for at in range(0, len(self.fp), step):
+            i, j = self._search(np.arange(at, min(at + step, len(self.fp))), most)
+            if ok is not None:
+                fine = ok(self.order[i], self.order[j])
+                i, j = i[fine], j[fine]
+            if not len(i):
+                continue
+            apart = np.bitwise_count(self.fp[i] ^ self.fp[j]).astype(np.int64)
+            for p, q in ((i, j), (j, i)):
+                by = np.lexsort((apart, p))
+                by = by[np.r_[True, p[by][1:] != p[by][:-1]]]
+                by = by[apart[by] < least[p[by]]]
+                least[p[by]], mate[p[by]] = apart[by], q[by]
+        i = np.flatnonzero(mate >= 0)
+        i, j = self.order[i], self.order[mate[i]]
+        return tuple(np.unique(np.stack([np.minimum(i, j), np.maximum(i, j)]), axis=1))
+
     def _search(self, q: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
         query, node = q, np.zeros(len(q), np.int64)
         diff, above = np.zeros(len(q), np.int64), np.zeros(len(q), np.uint64)
@@ -114,29 +146,29 @@ def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def third_masks(mask: int, most: int = 64) -> list[int]:
-    """The mask with up to ``most`` bits of each third of the bits it leaves free added."""
+def part_masks(mask: int, most: int = 64, parts: int = 3) -> list[int]:
+    """The mask with up to ``most`` bits of each of ``parts`` parts of the bits it leaves free added; equal ones once."""
     free = [b for b in range(63, -1, -1) if not mask >> b & 1]
-    cuts = [len(free) * k // 3 for k in range(4)]
-    return [mask | sum(1 << b for b in free[cuts[k] : cuts[k + 1]][:most]) for k in range(3)]
+    cuts = [len(free) * k // parts for k in range(parts + 1)]
+    return list(dict.fromkeys(mask | sum(1 << b for b in free[cuts[k] : cuts[k + 1]][:most]) for k in range(parts)))
 
 
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP) -> DataFrame:
-    """Edges between the distinct ``fps(fp)`` that join all within ``most_bits`` (at most 2) bits: ``(a, b)``.
+def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP, nearest: bool = False) -> DataFrame:
+    """Edges between the distinct ``fps(fp)`` that join all within ``most_bits`` bits: ``(a, b)``.
 
     Two words that differ in at most two bits agree on one of any three parts of their
-    bits. So each fingerprint goes to three Gray-ordered indexes, by leading bits of a part: as many as make
+    bits, and so on for more bits. So each fingerprint goes to three Gray-ordered indexes, by leading bits of a part: as many as make
     groups of about half of ``most_in_group``, for which GrayIndex prunes over several levels. Groups that
     are too large go on to three groups by parts of the bits that are left, and so on. No pair is
     lost, and when few bits are free a group can't be large, as its fingerprints differ. Each group
-    gives a star for each component found, never all pairs.
+    gives a star for each component found, never all pairs. With ``nearest`` it gives pairs that are within
+    ``most_bits`` themselves: each word with its nearest in each group.
     """
-    if most_bits > 2:
-        raise ValueError("the parts are made for two differing bits")
+    parts_of = partial(part_masks, parts=most_bits + 1)
     rows = fps.select(F.lit(0).cast("long").alias("mask"), "fp")
     lead = max(0, int(np.ceil(np.log2(max(1, 2 * rows.count() / most_in_group)))))
     masks, found, held = [0], None, []
@@ -163,8 +195,12 @@ def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP
         for s, e in zip(cut[:-1], cut[1:]):
             if e - s < 2:
                 continue
-            i, j = GrayIndex(fp[s:e]).pairs(most_bits)
-            if len(i):
+            index = GrayIndex(fp[s:e])
+            i, j = index.nearest(most_bits) if nearest else index.pairs(most_bits)
+            if nearest:
+                a.append(words[s:e][i])
+                b.append(words[s:e][j])
+            elif len(i):
                 top = roots(e - s, i, j)
                 kid = np.flatnonzero(top != np.arange(e - s))
                 a.append(words[s:e][top[kid]])
@@ -173,8 +209,8 @@ def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP
             yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
 
     while masks:
-        # The parts of a mask: a literal of at most 3 ** depth short entries.
-        parts = F.create_map(*[x for m in masks for x in (F.lit(signed(m)), F.array(*[F.lit(signed(p)) for p in third_masks(m, lead)]))])
+        # The parts of a mask: a literal of at most (most_bits + 1) ** depth short entries.
+        parts = F.create_map(*[x for m in masks for x in (F.lit(signed(m)), F.array(*[F.lit(signed(p)) for p in parts_of(m, lead)]))])
         wide = rows.select(F.explode(F.element_at(parts, F.col("mask"))).alias("mask"), "fp").withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = wide.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
         wide = stored(wide.join(sizes, ["mask", "key"]), "groups")
@@ -182,7 +218,7 @@ def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP
         small = wide.where(F.col("n") <= most_in_group).select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(search, "a long, b long")
         found = small if found is None else found.unionByName(small)
         rows = wide.where(F.col("n") > most_in_group).select("mask", "fp")
-        masks = sorted({p for m in masks for p in third_masks(m, lead) if p != (1 << 64) - 1}) if not rows.isEmpty() else []
+        masks = sorted({p for m in masks for p in parts_of(m, lead) if p != (1 << 64) - 1}) if not rows.isEmpty() else []
         lead = 64
     out = stored(found, "stars")
     discard(*held)
@@ -239,20 +275,63 @@ def rare_first(h: np.ndarray, often: np.ndarray, n: int) -> np.ndarray:
     return h[:n]
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """Bits of the slots (a power of two, two a key at least) that hold an odd number of the keys, as 64-bit words.
+
+    Two sets differ in at least as many keys as their sketches differ in bits.
+    """
+    slots = max(KEY_SKETCH, 1 << (2 * len(h) - 1).bit_length())
+    odd = np.bincount((h.view(np.uint64) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(s: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of the same keys with fewer slots."""
+    while len(s) > words:
+        s = s[: len(s) // 2] ^ s[len(s) // 2 :]
+    return s
+
+
+def prints(nodes: DataFrame, width: int) -> DataFrame:
+    """SimHash ``fp``, size ``n`` and ``sketch`` of the shingle sets of ``nodes(node, text)``; ``small`` is the sketch that travels with keys."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), width) for t in b.column(1)]
+            fp = np.array([majority(h.view(np.uint64)) for h in sets], np.uint64).view(np.int64)
+            full = [sketch(h) for h in sets]
+            small = [folded(x, KEY_SKETCH // 64).tobytes() for x in full]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array([len(h) for h in sets], pa.int32()), pa.array([x.tobytes() for x in full], pa.binary()), pa.array(small, pa.binary())], names=["node", "fp", "n", "sketch", "small"])
+
+    return nodes.mapInArrow(run, "node long, fp long, n int, sketch binary, small binary")
+
+
 def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, least: int = 32, most_often: int = MOST_OFTEN) -> DataFrame:
     """(node, component) of all texts linked to another one: components over pairs of at least this Jaccard similarity of word shingles.
 
-    SimHash bits can't find them: such pairs differ by up to a quarter of the bits.
-    Two sets this similar share one of the first n - ceil(similarity * n) + 1 shingles of
+    SimHashes of the shingles propose pairs, from Gray-ordered indexes: each text with its nearest one within ``NEAR_BITS`` among
+    all texts (``links``), and within ``WIDE_BITS`` among those that share a key, as such pairs differ by up to a quarter of the bits
+    and no parts of the bits find that. Every proposed pair is checked exactly. What is farther apart is found too:
+    two sets this similar share one of the first n - ceil(similarity * n) + 1 shingles of
     each, in whatever common order; so those are the keys, and no pair is lost. Shingles that many texts
     have among their first come last in the order: those of more than ``least`` texts, or the ``most_often`` most
-    common ones. That bounds what is broadcast and changes no result. Keys are shuffled once and met in order;
-    of each pair, the shared key must come early enough in both sets for the rest to reach the similarity.
-    Candidates are compared exactly: first those next to each other under a key, then those
-    that no links join yet. So a large group of near copies gives a few pairs a text, not all.
+    common ones. That bounds what is broadcast and changes no result. Of each pair, the shared key must come early
+    enough in both sets for the rest to reach the similarity. Members of a key that the checked pairs don't join are compared
+    by their sketches where they meet, which lose no pair, and only what these leave is checked. So a
+    large group of near copies gives a few pairs a text, not all.
     """
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    sc = spark.sparkContext
     nodes = stored(docs.select(text_node(F.col("text")).alias("node"), F.col("text").cast("string").alias("text")).dropDuplicates(["node"]), "texts", compression="zstd")
+    of_text = stored(prints(nodes, width), "prints", compression="zstd")
+    release(spark)
+
+    same = stored(of_text.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
+    beside = links(same.select("fp"), NEAR_BITS, nearest=True)
+    one = beside.join(same.select(F.col("fp").alias("a"), F.col("least").alias("x")), "a")
+    both = one.join(same.select(F.col("fp").alias("b"), F.col("least").alias("y")), "b").select("x", "y")
+    equal = of_text.select("fp", "node").join(same, "fp").where("node <> least").select(F.col("least").alias("x"), F.col("node").alias("y"))
+    proposed = stored(both.unionByName(equal).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "proposed")
+    discard(beside, same)
 
     def first(common: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,32 +361,17 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
     discard(counts)
     need = 2 * similarity / (1 + similarity)  # two sets of m and n share at least need * (m + n) / 2
 
-    def solve(key, node, n, place, of, steps) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of a key's members: each with those ``steps`` places before it, of other components only; each pair once."""
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        size = np.diff(np.r_[start, len(key)])
-        rank, size = np.arange(len(key)) - np.repeat(start, size), np.repeat(size, size)
-        out = []
-        for step in steps:
-            at = np.flatnonzero(rank >= step)
-            if len(at):
-                a, b = at - step, at
-                both = need * (n[a].astype(float) + n[b]) / 2 - 1e-9
-                ok = (of[a] != of[b]) & (n[a] - place[a] >= both) & (n[b] - place[b] >= both) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
-                out.append(np.stack([np.minimum(node[a], node[b])[ok], np.maximum(node[a], node[b])[ok]]))
-            if out and (not len(at) or step == steps[-1] or sum(x.shape[1] for x in out) > 1_000_000):
-                x = np.unique(np.concatenate(out, 1), axis=1)
-                yield x[0], x[1]
-                out = []
-            if not len(at):
-                return
+    def early(n, place, a, b) -> np.ndarray:
+        """Whether the sets at a and b can reach the similarity, by their sizes and the places of the key."""
+        both = need * (n[a].astype(float) + n[b]) / 2 - 1e-9
+        return (n[a] - place[a] >= both) & (n[b] - place[b] >= both) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
 
     def by_key(work):
-        """A function over batches sorted by key that gives whole keys to ``work``."""
+        """A function over batches sorted by key that gives whole keys to ``work``, with binary columns as rows of words."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = None
             for b in batches:
-                now = [b.column(x).to_numpy(zero_copy_only=False) for x in range(b.num_columns)]
+                now = [np.frombuffer(b"".join(x.to_pylist()), np.uint64).reshape(-1, KEY_SKETCH // 64) if pa.types.is_binary(x.type) else x.to_numpy(zero_copy_only=False) for x in b.columns]
                 held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
                 cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last key may go on
                 if cut > 100_000:
@@ -318,60 +382,125 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
 
         return run
 
-    def close(key, node, n, place) -> Iterator[pa.RecordBatch]:
-        """Pairs (key null) of neighbours within a key; the members of keys with more, for later.
-
-        Each key has an order of its own, so that a text meets others under each.
-        """
-        by = np.lexsort(((node ^ key).view(np.uint64) * MIX, key))
-        key, node, n, place = key[by], node[by], n[by], place[by]
-        for a, b in solve(key, node, n, place, node, range(1, NEIGHBOURS + 1)):
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.int32())], names=["key", "a", "b", "n", "place"])
-        size = np.unique(key, return_counts=True)[1]
-        more = np.repeat(size > NEIGHBOURS + 1, size)
-        if more.any():
-            yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(node[more]), pa.nulls(int(more.sum()), pa.int64()), pa.array(n[more]), pa.array(place[more])], names=["key", "a", "b", "n", "place"])
-
-    def far(key, node, n, place, of) -> Iterator[pa.RecordBatch]:
-        for a, b in solve(key, node, n, place, of, range(NEIGHBOURS + 1, len(key) + 1)):
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    keys = first(sc.broadcast(np.sort(often))).select("key", "node", "n", "place")
-    met = stored(keys.repartition("key").sortWithinPartitions("key", "node").mapInArrow(by_key(close), "key long, a long, b long, n int, place int"), "met")
-    near = stored(verified(met.where("key IS NULL").select("a", "b").distinct(), nodes, width, similarity), "links")
+    def whole(key) -> tuple[np.ndarray, np.ndarray]:
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        return start, np.diff(np.r_[start, len(key)])
+
+    def shared(key, node, n, place) -> Iterator[pa.RecordBatch]:
+        """Members of keys that several texts have."""
+        _, size = whole(key)
+        several = np.repeat(size > 1, size)
+        if several.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[several]) for x in (key, node, n, place)], names=["key", "node", "n", "place"])
+
+    def close(key, node, n, place, fp) -> Iterator[pa.RecordBatch]:
+        """Pairs of neighbours within a key: of two members, of more the nearest of each in the index of their SimHashes."""
+        start, size = whole(key)
+        two = start[size == 2]
+        two = two[early(n, place, two, two + 1)]
+        a, b = [two], [two + 1]
+        for s, m in zip(start[size > 2], size[size > 2]):
+            i, j = GrayIndex(fp[s : s + m].view(np.uint64)).nearest(WIDE_BITS, lambda i, j: early(n, place, s + i, s + j))
+            a.append(s + i)
+            b.append(s + j)
+        yield from distinct(node, [np.concatenate(a)], [np.concatenate(b)])
+
+    def distinct(node, a, b) -> Iterator[pa.RecordBatch]:
+        a, b = node[np.concatenate(a)], node[np.concatenate(b)]
+        if len(a):
+            x = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], names=["a", "b"])
+
+    def far(key, node, n, place, of, small) -> Iterator[pa.RecordBatch]:
+        """Pairs of a key's members in different components that their sketches allow."""
+        start, size = whole(key)
+        rank = np.arange(len(key)) - np.repeat(start, size)
+        a, b, held = [], [], 0
+        for step in range(1, int(size.max())):
+            j = np.flatnonzero(rank >= step)
+            j = j[of[j - step] != of[j]]
+            j = j[early(n, place, j - step, j)]
+            for at in range(0, len(j), 65536):
+                y = j[at : at + 65536]
+                apart = np.bitwise_count(small[y - step] ^ small[y]).sum(1, dtype=np.int64)
+                y = y[apart <= (1 - need) * (n[y - step].astype(float) + n[y]) + 1e-6]
+                a.append(y - step)
+                b.append(y)
+                held += len(y)
+            if held > 1_000_000:
+                yield from distinct(node, a, b)
+                a, b, held = [], [], 0
+        if held:
+            yield from distinct(node, a, b)
+
+    keys = first(sc.broadcast(np.sort(often)))
+    met = stored(keys.select("key", "node", "n", "place").repartition("key").sortWithinPartitions("key").mapInArrow(by_key(shared), "key long, node long, n int, place int"), "met")
+    release(spark)
+    under = met.join(of_text.select("node", "fp"), "node").select("key", "node", "n", "place", "fp").repartition("key").sortWithinPartitions("key", "node")
+    beside = under.mapInArrow(by_key(close), "a long, b long")
+    near = stored(verified(proposed.unionByName(beside).distinct(), nodes, of_text, width, similarity), "links")
+    release(spark)
     of = components(near)
-    left = met.where("key IS NOT NULL").select("key", F.col("a").alias("node"), "n", "place").join(of, "node", "left").select("key", "node", "n", "place", F.coalesce("component", "node").alias("of"))
-    split = left.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q")).where("p <> q").select("key")
-    left = left.join(split, "key", "left_semi").repartition("key").sortWithinPartitions("key", "node")
+    left = met.join(of, "node", "left").select("key", "node", "n", "place", F.coalesce("component", "node").alias("of"))
+    split = left.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q"), F.count("*").alias("m")).where("p <> q AND m > 2").select("key")
+    left = left.join(split, "key", "left_semi").join(of_text.select("node", "small"), "node").select("key", "node", "n", "place", "of", "small").repartition("key").sortWithinPartitions("key", "node")
     more = stored(left.mapInArrow(by_key(far), "a long, b long").distinct(), "pairs")
+    discard(met, proposed)
     if not more.isEmpty():
-        near = near.unionByName(stored(verified(more, nodes, width, similarity), "links"))
+        near = near.unionByName(stored(verified(more, nodes, of_text, width, similarity), "links"))
+    discard(more)
     out = components(near)
-    discard(nodes, met, more)
+    discard(nodes, of_text)
     return out
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, width: int, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, nodes: DataFrame, of_text: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs of ``pairs(a, b)`` whose texts in ``nodes(node, text)`` are similar enough.
 
-    Texts of candidates are shuffled as sets of shingles; pairs of one text are dealt to several tasks.
+    Sketches rule out most others first; the texts of the rest meet, and are told apart by their shingles.
     """
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spark = nodes.sparkSession
+    need = 2 * similarity / (1 + similarity)
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for m, s, n, t in zip(b.column(2).to_pylist(), b.column(3), b.column(4).to_pylist(), b.column(5)):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (s, t))
+                words = min(len(x), len(y))
+                ok.append(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum(dtype=np.int64) <= (1 - need) * (m + n) + 1e-6)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    one = salted(pairs, of_text.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("s")), "a", "b", 2)
+    both = salted(one, of_text.select(F.col("node").alias("b"), "n", F.col("sketch").alias("t")), "b", "a", 2)
+    likely = stored(both.select("a", "b", "m", "s", "n", "t").mapInArrow(allowed, "a long, b long"), "likely")
+    release(spark)
+    slots = likely.select(F.explode(F.array("a", "b")).alias("node")).select(F.col("node").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
+    marks = np.zeros(SLOTS // 8, np.uint8)
+    np.bitwise_or.at(marks, slots >> 3, (1 << (slots & 7)).astype(np.uint8))
+    marks = spark.sparkContext.broadcast(marks)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h = [shingle_set(t.as_py(), width).tobytes() for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h, pa.binary())], names=["node", "h"])
+            slot = b.column(0).to_numpy() & (SLOTS - 1)
+            yield b.filter(pa.array((marks.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = {}, 0
         for b in batches:
             ok = []
-            for s, t in zip(b.column(2), b.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.int64) for v in (s, t))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            for x, y, s, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                for node, text in ((x, s), (y, t)):
+                    if node not in known:
+                        if held > 4_000_000:
+                            known, held = {k: known[k] for k in (x, y) if k in known}, 0
+                        known[node] = shingle_set(text.as_py(), width)
+                        held += len(known[node])
+                both = len(np.intersect1d(known[x], known[y], assume_unique=True))
+                ok.append(both >= similarity * (len(known[x]) + len(known[y]) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stored(nodes.join(wanted, "node", "left_semi").mapInArrow(sets, "node long, h binary"), "sets")
-    one = salted(pairs, texts.select(F.col("node").alias("a"), F.col("h").alias("s")), "a", "b", 2)
-    both = salted(one, texts.select(F.col("node").alias("b"), F.col("h").alias("t")), "b", "a", 2)
+    texts = nodes.select("node", "text").mapInArrow(wanted, "node long, text string")
+    one = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("s")), "a")
+    both = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
     return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
