@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
+#: What drops that which a Python worker remembers from one task to the next.
+REMEMBERING: list[Callable[[], None]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +72,31 @@ def release(spark: SparkSession | None) -> None:
         spark._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give this process's free memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    trimmed = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trimmed:
+        trimmed(0)
+
+
+def lean(run: Callable[[Iterator], Iterator], forget: bool = True) -> Callable[[Iterator], Iterator]:
+    """A function over batches that leaves no free memory with its worker, which stays beside the JVM when the task has ended.
+
+    With ``forget`` the worker first drops what it remembers from tasks of another kind.
+    """
+    def whole(batches: Iterator) -> Iterator:
+        if forget:
+            for drop in REMEMBERING:
+                drop()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return whole
+
+
 def salted(left: DataFrame, right: DataFrame, key: str, by: str, salts: int = 8) -> DataFrame:
     """Join on ``key`` with the rows of a key dealt to several tasks by column ``by``; ``right`` has one row a key."""
     l = left.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)))

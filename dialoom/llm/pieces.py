@@ -16,11 +16,13 @@ import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
+from dialoom.llm.common import REMEMBERING, lean
+
 SPACE = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Characters of encoded units that a task remembers; beyond it starts anew. It bounds memory, not results.
-REMEMBERED = 12_000_000
+#: Characters of encoded units that a worker remembers: those since it last had half as many, and the half before. It bounds memory, not results.
+REMEMBERED = 4_000_000
 #: Bits of a key beside those that choose its place in a table of what may be a piece.
 SLOT = np.uint64(44)
 #: The rank of what is never merged.
@@ -96,6 +98,7 @@ class Pieces:
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if apart else "(?s).+", re.S)
         self.bytes = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else t.replace(SPACE, " ").encode("utf-8") for t, k in zip(self.text, self.kind)]
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.kept, self.odd = 0, set()
         if self.model_type not in (UNIGRAM, BPE):
             raise ValueError("only unigram and BPE models are read")
@@ -308,12 +311,17 @@ class Pieces:
         units = [self.units.findall(t) for t in normal]
         per_text = np.fromiter(map(len, units), np.int64, len(units))
         code, distinct = pd.factorize(np.array([*chain.from_iterable(units)], object))
-        if self.kept > REMEMBERED:
-            self.known, self.odd, self.kept = {}, set(), 0
-        known, by_length = self.known, {}
+        if self.kept > REMEMBERED // 2:
+            self.known, self.before, self.kept = {}, self.known, 0
+            self.odd = {u for u in self.odd if u in self.before}
+        known, before, by_length = self.known, self.before, {}
         for u in distinct:
             if u not in known:
-                by_length.setdefault(len(u), []).append(u)
+                if u in before:
+                    known[u] = before.pop(u)
+                    self.kept += len(u)
+                else:
+                    by_length.setdefault(len(u), []).append(u)
         for length, us in by_length.items():
             step = max(1, 400_000 // length)
             for k in range(0, len(us), step):
@@ -352,7 +360,10 @@ def load(path: str) -> Pieces:
         return Pieces(f.read())
 
 
-def by_size(b: pa.RecordBatch, column: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+REMEMBERING.append(load.cache_clear)
+
+
+def by_size(b: pa.RecordBatch, column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``most`` bytes in a text column, a row at least: bounded memory for long texts."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
     at = 0
@@ -388,7 +399,7 @@ def encode(docs: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame
                     names=[*cols, "n_tokens", "ids", "round_trip"],
                 )
 
-    return docs.select(*cols, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(*cols, F.col("text").cast("string").alias("text")).mapInArrow(lean(run, forget=False), schema)
 
 
 def decode(tokens: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -408,4 +419,4 @@ def decode(tokens: DataFrame, model: str, keep: tuple[str, ...] = ()) -> DataFra
             texts = [m.decode(x or []) for x in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(texts, pa.string())], names=[*cols, "text"])
 
-    return tokens.select(*cols, F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, schema)
+    return tokens.select(*cols, F.col("ids").cast("array<int>").alias("ids")).mapInArrow(lean(run, forget=False), schema)

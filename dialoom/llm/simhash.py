@@ -12,7 +12,7 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import components, discard, release, salted, stored
+from dialoom.llm.common import components, discard, lean, release, salted, stored
 
 BITS = np.arange(64, dtype=np.uint64)
 #: Groups of candidate fingerprints above this many are refined by further shared bits.
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fp = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def gray_rank(fp: np.ndarray) -> np.ndarray:
@@ -215,7 +215,7 @@ def links(fps: DataFrame, most_bits: int = 2, most_in_group: int = MOST_IN_GROUP
         sizes = wide.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
         wide = stored(wide.join(sizes, ["mask", "key"]), "groups")
         held.append(wide)
-        small = wide.where(F.col("n") <= most_in_group).select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(search, "a long, b long")
+        small = wide.where(F.col("n") <= most_in_group).select("mask", "key", "fp").repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(lean(search), "a long, b long")
         found = small if found is None else found.unionByName(small)
         rows = wide.where(F.col("n") > most_in_group).select("mask", "fp")
         masks = sorted({p for m in masks for p in parts_of(m, lead) if p != (1 << 64) - 1}) if not rows.isEmpty() else []
@@ -302,7 +302,7 @@ def prints(nodes: DataFrame, width: int) -> DataFrame:
             small = [folded(x, KEY_SKETCH // 64).tobytes() for x in full]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array([len(h) for h in sets], pa.int32()), pa.array([x.tobytes() for x in full], pa.binary()), pa.array(small, pa.binary())], names=["node", "fp", "n", "sketch", "small"])
 
-    return nodes.mapInArrow(run, "node long, fp long, n int, sketch binary, small binary")
+    return nodes.mapInArrow(lean(run), "node long, fp long, n int, sketch binary, small binary")
 
 
 def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, least: int = 32, most_often: int = MOST_OFTEN) -> DataFrame:
@@ -347,7 +347,7 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
                 if ids:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (ids, keys, sizes, places)], names=["node", "key", "n", "place"])
 
-        return nodes.mapInArrow(run, "node long, key long, n int, place int")
+        return nodes.mapInArrow(lean(run), "node long, key long, n int, place int")
 
     counts = stored(first(sc.broadcast(np.zeros(0, np.int64))).groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > least), "often")
     by_count = counts.groupBy("m").agg(F.count("*").alias("keys")).orderBy(F.col("m").desc()).collect()  # one row a count
@@ -434,17 +434,17 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
             yield from distinct(node, a, b)
 
     keys = first(sc.broadcast(np.sort(often)))
-    met = stored(keys.select("key", "node", "n", "place").repartition("key").sortWithinPartitions("key").mapInArrow(by_key(shared), "key long, node long, n int, place int"), "met")
+    met = stored(keys.select("key", "node", "n", "place").repartition("key").sortWithinPartitions("key").mapInArrow(lean(by_key(shared)), "key long, node long, n int, place int"), "met")
     release(spark)
     under = met.join(of_text.select("node", "fp"), "node").select("key", "node", "n", "place", "fp").repartition("key").sortWithinPartitions("key", "node")
-    beside = under.mapInArrow(by_key(close), "a long, b long")
+    beside = under.mapInArrow(lean(by_key(close)), "a long, b long")
     near = stored(verified(proposed.unionByName(beside).distinct(), nodes, of_text, width, similarity), "links")
     release(spark)
     of = components(near)
     left = met.join(of, "node", "left").select("key", "node", "n", "place", F.coalesce("component", "node").alias("of"))
     split = left.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q"), F.count("*").alias("m")).where("p <> q AND m > 2").select("key")
     left = left.join(split, "key", "left_semi").join(of_text.select("node", "small"), "node").select("key", "node", "n", "place", "of", "small").repartition("key").sortWithinPartitions("key", "node")
-    more = stored(left.mapInArrow(by_key(far), "a long, b long").distinct(), "pairs")
+    more = stored(left.mapInArrow(lean(by_key(far)), "a long, b long").distinct(), "pairs")
     discard(met, proposed)
     if not more.isEmpty():
         near = near.unionByName(stored(verified(more, nodes, of_text, width, similarity), "links"))
@@ -473,7 +473,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, of_text: DataFrame, width: int,
 
     one = salted(pairs, of_text.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("sketch").alias("s")), "a", "b", 2)
     both = salted(one, of_text.select(F.col("node").alias("b"), "n", F.col("sketch").alias("t")), "b", "a", 2)
-    likely = stored(both.select("a", "b", "m", "s", "n", "t").mapInArrow(allowed, "a long, b long"), "likely")
+    likely = stored(both.select("a", "b", "m", "s", "n", "t").mapInArrow(lean(allowed), "a long, b long"), "likely")
     release(spark)
     slots = likely.select(F.explode(F.array("a", "b")).alias("node")).select(F.col("node").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
     marks = np.zeros(SLOTS // 8, np.uint8)
@@ -500,7 +500,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, of_text: DataFrame, width: int,
                 ok.append(both >= similarity * (len(known[x]) + len(known[y]) - both) - 1e-9)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    texts = nodes.select("node", "text").mapInArrow(wanted, "node long, text string")
+    texts = nodes.select("node", "text").mapInArrow(lean(wanted), "node long, text string")
     one = likely.join(texts.select(F.col("node").alias("a"), F.col("text").alias("s")), "a")
     both = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("t")), "b")
-    return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "s", "t").mapInArrow(lean(run), "a long, b long")

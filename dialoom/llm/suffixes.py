@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from dialoom.llm.common import discard, stored
+from dialoom.llm.common import discard, lean, stored
 
 #: Bytes of an anchor. A repeated string has at least one anchor at the same place in each copy.
 GRAM = 32
@@ -217,7 +217,7 @@ def spans(docs: DataFrame, length: int = 100, most_in_group: int = MOST_IN_GROUP
             if parts:
                 yield flush()
 
-    runs = stored(base.mapInArrow(scan, "d long, twin int, gram long, context long, lo long, n int"), "runs")
+    runs = stored(base.mapInArrow(lean(scan), "d long, twin int, gram long, context long, lo long, n int"), "runs")
     often = runs.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
     again = stored(runs.join(often, "gram", "left_semi"), "again")
     discard(runs)
@@ -242,7 +242,7 @@ def spans(docs: DataFrame, length: int = 100, most_in_group: int = MOST_IN_GROUP
                 texts = [t[s : s + c + length - 1] for s, c in zip(los.tolist(), ns.tolist())]
                 yield pa.RecordBatch.from_arrays([gram, grp, pa.array(np.full(len(los), b.column(0)[i].as_py())), pa.array(np.full(len(los), b.column(1)[i].as_py(), np.int32)), lo, n, pa.array(texts, pa.binary())], names=["gram", "grp", "d", "twin", "lo", "n", "bytes"])
 
-    contexts = base.join(need, ["d", "twin"]).select("d", "twin", "text", "xs").mapInArrow(cut, "gram long, grp int, d long, twin int, lo long, n int, bytes binary")
+    contexts = base.join(need, ["d", "twin"]).select("d", "twin", "text", "xs").mapInArrow(lean(cut), "gram long, grp int, d long, twin int, lo long, n int, bytes binary")
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
@@ -292,7 +292,7 @@ def spans(docs: DataFrame, length: int = 100, most_in_group: int = MOST_IN_GROUP
             keys = [hashlib.blake2b(data[p : p + length].tobytes(), digest_size=16).digest() for p in pos[m]]
             yield pd.DataFrame({"d": d[row[m]], "twin": twin[row[m]], "start": lo[row[m]] + step[m], "end": lo[row[m]] + step[m] + length, "digest": keys})
 
-    found = stored(contexts.repartition("gram", "grp").sortWithinPartitions("gram", "grp").mapInPandas(sort, "d long, twin int, start long, end long, digest binary"), "found")
+    found = stored(contexts.repartition("gram", "grp").sortWithinPartitions("gram", "grp").mapInPandas(lean(sort), "d long, twin int, start long, end long, digest binary"), "found")
     open_ = found.where("digest IS NOT NULL")
     least = open_.groupBy("digest").agg(F.min(F.struct("d", "twin", "start")).alias("f"))
     late = open_.join(least, "digest").where(F.struct("d", "twin", "start") != F.col("f")).select("d", "twin", "start", "end")
@@ -349,4 +349,4 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: tuple[str, ...] = (
             new = [pa.array(c, f) for c, f in zip(zip(*out), kinds)] if out else [pa.array([], f) for f in kinds]
             yield pa.RecordBatch.from_arrays([*b.columns[:k], *new], names=[*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    return both.mapInArrow(run, head + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")
+    return both.mapInArrow(lean(run), head + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string")

@@ -196,3 +196,30 @@ def test_sketches_never_exceed_the_difference():
         for words in {min(len(s), len(t)), simhash.KEY_SKETCH // 64}:
             bits = int(np.bitwise_count(simhash.folded(s, words) ^ simhash.folded(t, words)).sum())
             assert bits <= differ and (both < len(x) or both < len(y) or bits == 0)
+
+
+def test_workers_forget(spark, monkeypatch):
+    """Idle workers stay beside the JVM: tasks of another kind drop the model and the units that encoding remembers."""
+    docs, runs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema, *a, **k: runs.append(run) or self)
+    simhash.fingerprints(docs)
+    simhash.prints(docs, 5)
+    pieces.encode(docs, MODEL)
+    for run, left in zip(runs, (False, False, True), strict=True):
+        pieces.load(MODEL).encode_batch(["some units to remember"])
+        assert list(run(iter([]))) == [] and (pieces.load.cache_info().currsize > 0) == left
+
+
+def test_common_units_outlive_rare_ones(monkeypatch):
+    """Units of every batch are encoded once, and what is remembered stays bounded."""
+    m, seen = pieces.Pieces(open(MODEL, "rb").read()), Counter()
+    viterbi = m._viterbi
+    monkeypatch.setattr(m, "_viterbi", lambda us: seen.update(us) or viterbi(us))
+    monkeypatch.setattr(pieces, "REMEMBERED", 400)
+    rng = random.Random(7)
+    for _ in range(60):
+        rare = " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(5))
+        text = "common words " + rare
+        assert m.encode_batch([text]) == [pieces.load(MODEL).encode_batch([text])[0]]
+        assert sum(map(len, [*m.known, *m.before])) <= 400 + 2 * len(text) + 10
+    assert seen["▁common"] == seen["▁words"] == 1
