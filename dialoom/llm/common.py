@@ -68,6 +68,7 @@ def discard(*tables: DataFrame) -> None:
 def release(spark: SparkSession | None) -> None:
     """Shuffle files of finished steps go once the driver's JVM notices that nothing refers to them."""
     gc.collect()
+    trim()
     if spark is not None:
         spark._jvm.System.gc()
 

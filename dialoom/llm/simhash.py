@@ -27,6 +27,8 @@ NEAR_BITS = 5
 WIDE_BITS = 20
 #: Bits of the sketches that travel with keys.
 KEY_SKETCH = 512
+#: First keys of a text that travel too, to tell whether a pair has met before.
+HEADS = 4
 #: Slots of the map of wanted nodes: 8 MB.
 SLOTS = 1 << 26
 
@@ -411,9 +413,14 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
             x = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[1])], names=["a", "b"])
 
-    def far(key, node, n, place, of, small) -> Iterator[pa.RecordBatch]:
-        """Pairs of a key's members in different components that their sketches allow."""
+    def far(key, node, n, place, of, small, *heads) -> Iterator[pa.RecordBatch]:
+        """Pairs of a key's members in different components that their sketches allow.
+
+        A pair whose first keys have another one in common before this key is left to that one: so most pairs come
+        from the first key they share only, and none is lost, as that one has no other before it.
+        """
         start, size = whole(key)
+        before = [(place > k) & (h != key) for k, h in enumerate(heads)]
         rank = np.arange(len(key)) - np.repeat(start, size)
         a, b, held = [], [], 0
         for step in range(1, int(size.max())):
@@ -424,6 +431,11 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
                 y = j[at : at + 65536]
                 apart = np.bitwise_count(small[y - step] ^ small[y]).sum(1, dtype=np.int64)
                 y = y[apart <= (1 - need) * (n[y - step].astype(float) + n[y]) + 1e-6]
+                met = np.zeros(len(y), bool)
+                for h, earlier in zip(heads, before):
+                    for g, as_early in zip(heads, before):
+                        met |= (h[y - step] == g[y]) & earlier[y - step] & as_early[y]
+                y = y[~met]
                 a.append(y - step)
                 b.append(y)
                 held += len(y)
@@ -443,7 +455,10 @@ def similar_texts(docs: DataFrame, width: int = 5, similarity: float = 0.8, leas
     of = components(near)
     left = met.join(of, "node", "left").select("key", "node", "n", "place", F.coalesce("component", "node").alias("of"))
     split = left.groupBy("key").agg(F.min("of").alias("p"), F.max("of").alias("q"), F.count("*").alias("m")).where("p <> q AND m > 2").select("key")
-    left = left.join(split, "key", "left_semi").join(of_text.select("node", "small"), "node").select("key", "node", "n", "place", "of", "small").repartition("key").sortWithinPartitions("key", "node")
+    heads = [f"h{k}" for k in range(HEADS)]
+    head = met.where(F.col("place") < HEADS).groupBy("node").agg(*[F.max(F.when(F.col("place") == k, F.col("key"))).alias(h) for k, h in enumerate(heads)])
+    left = left.join(split, "key", "left_semi").join(of_text.select("node", "small"), "node").join(head, "node", "left")
+    left = left.select("key", "node", "n", "place", "of", "small", *[F.coalesce(h, "key").alias(h) for h in heads]).repartition("key").sortWithinPartitions("key", "node")
     more = stored(left.mapInArrow(lean(by_key(far)), "a long, b long").distinct(), "pairs")
     discard(met, proposed)
     if not more.isEmpty():

@@ -198,6 +198,35 @@ def test_sketches_never_exceed_the_difference():
             assert bits <= differ and (both < len(x) or both < len(y) or bits == 0)
 
 
+def test_pairs_come_from_the_first_key_they_share(spark, monkeypatch):
+    """Texts just below 0.8 share many keys; each pair of them is given about once, not under every key."""
+    rng = random.Random(16)
+    base, texts, counts = prose(rng, 200).split(), [], []
+    for at in range(4, 190, 11):
+        texts.append(" ".join([*base[:at], *(f"edit{at}x{x}" for x in range(7)), *base[at + 7 :]]))
+    real = type(spark.range(1)).mapInArrow
+
+    def counted(self, run, schema, *args, **kw):
+        out = real(self, run, schema, *args, **kw)
+        if {"of", "small"} <= set(self.columns):
+            counts.append((out.count(), out.distinct().count()))
+        return out
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counted)
+    df, _ = nodes_of(spark, texts)
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert simhash.similar_texts(df, 5, 0.8).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    (rows, pairs), = counts
+    assert pairs >= 100 and rows <= 1.2 * pairs, (rows, pairs)
+
+
 def test_workers_forget(spark, monkeypatch):
     """Idle workers stay beside the JVM: tasks of another kind drop the model and the units that encoding remembers."""
     docs, runs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), []
